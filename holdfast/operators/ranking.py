@@ -23,10 +23,10 @@ _GROUP = "_group"
 _ALL = "all"  # group label when the caller has no groups
 
 ROWS_PER_CELL = 200_000
-MAX_CELLS = 2048
+MAX_CELLS = 4096
 MAX_GROUPS = 64
+_SAMPLE = 50  # sampled rows per cell
 _SPREAD = 4096
-_DIGEST_PREFIX = 3  # hex digits: 4096 cells of equal size
 
 
 class TooManyGroups(ValueError):
@@ -54,25 +54,55 @@ def _cut_points(
 ) -> dict[str, tuple[int, list[float]]]:
     """Per group: row count and cut points, about one per ``rows_per_cell`` rows.
 
-    One aggregate over the table; its result has one bounded row per group.
+    Counts are exact. Cut points come from a random sample of a fixed size per
+    group: they only decide how evenly the work is spread, never a result, and
+    merging quantile sketches of every task would not scale with the input.
     """
-    quantiles = double_array([i / max_cells for i in range(1, max_cells)])
     known = prepared.where(F.col(_VALUE).isNotNull() & F.col(_GROUP).isNotNull())
-    summary = known.groupBy(_GROUP).agg(
-        F.count("*").alias("n"),
-        F.percentile_approx(_VALUE, quantiles, 10 * max_cells).alias("q"),
-    )
-    rows = summary.limit(max_groups + 1).collect()
+    rows = known.groupBy(_GROUP).count().limit(max_groups + 1).collect()
     if len(rows) > max_groups:
         raise TooManyGroups(f"more than {max_groups} groups")
+    sizes = {row[_GROUP]: row["count"] for row in rows}
+    cells = {g: min(max_cells, math.ceil(n / rows_per_cell)) for g, n in sizes.items()}
+    most = max(cells.values(), default=1)
+    if most == 1:
+        return {g: (n, []) for g, n in sizes.items()}
+    share = F.lit(0.0)
+    for g, n in sizes.items():
+        if cells[g] > 1:
+            share = F.when(F.col(_GROUP) == g, min(1.0, _SAMPLE * cells[g] / n)).otherwise(share)
+    quantiles = double_array([i / most for i in range(1, most)])
+    found = (
+        known.where(F.rand(0) < share)
+        .groupBy(_GROUP)
+        .agg(F.percentile_approx(_VALUE, quantiles, 10 * most).alias("q"))
+        .collect()  # one bounded row per group
+    )
+    points = {row[_GROUP]: row["q"] for row in found}
     out = {}
-    for row in rows:
-        cells = min(max_cells, math.ceil(row["n"] / rows_per_cell))
-        picks = {row["q"][math.ceil(i * max_cells / cells) - 1] for i in range(1, cells)}
-        out[row[_GROUP]] = (row["n"], sorted(p for p in picks if math.isfinite(p)))
+    for g, n in sizes.items():
+        k = cells[g]
+        picks = {points[g][math.ceil(i * most / k) - 1] for i in range(1, k)} if g in points else ()
+        out[g] = (n, sorted(p for p in picks if math.isfinite(p)))
     return out
 
 
+def _edges(points: Sequence[float]) -> list[float]:
+    """Bucket edges that also give every cut point a cell of its own."""
+    inner = sorted(set(points) | {math.nextafter(p, math.inf) for p in points})
+    return [-math.inf, *inner, math.inf]
+
+
+def _shared_cells(prepared: DataFrame, points: Sequence[float]) -> DataFrame:
+    """Cells cut at the same points in every group."""
+    if not points:
+        return prepared.withColumn(CELL, F.lit(0))
+    out = Bucketizer(
+        splits=_edges(points), inputCol=_VALUE, outputCol=CELL, handleInvalid="keep"
+    ).transform(prepared)
+    return out.withColumn(CELL, F.col(CELL).cast("int"))
+
+
 def _with_cells(prepared: DataFrame, cuts: Mapping[str, tuple[int, list[float]]]) -> DataFrame:
     """Add the cell number: non-decreasing in the value, equal for equal values."""
     splits, names = [], {}
@@ -94,22 +124,6 @@ def _with_cells(prepared: DataFrame, cuts: Mapping[str, tuple[int, list[float]]]
     return out.withColumn(CELL, cell).drop(*names.values())
 
 
-def _edges(points: Sequence[float]) -> list[float]:
-    """Bucket edges that also give every cut point a cell of its own."""
-    inner = sorted(set(points) | {math.nextafter(p, math.inf) for p in points})
-    return [-math.inf, *inner, math.inf]
-
-
-def _shared_cells(prepared: DataFrame, points: Sequence[float]) -> DataFrame:
-    """Cells cut at the same points in every group."""
-    if not points:
-        return prepared.withColumn(CELL, F.lit(0))
-    out = Bucketizer(
-        splits=_edges(points), inputCol=_VALUE, outputCol=CELL, handleInvalid="keep"
-    ).transform(prepared)
-    return out.withColumn(CELL, F.col(CELL).cast("int"))
-
-
 def _offsets(cells: DataFrame, sums: Sequence[str]) -> DataFrame:
     """Per (group, cell): totals of the cells before it and of the whole group.
 
@@ -127,6 +141,18 @@ def _offsets(cells: DataFrame, sums: Sequence[str]) -> DataFrame:
 # --- percent rank -------------------------------------------------------------
 
 
+def _spread(free: Column, key: str) -> Column:
+    """Deals rows that need no order over many small window groups."""
+    return F.when(free, F.pmod(F.xxhash64(F.col(key)), F.lit(_SPREAD))).otherwise(F.lit(-1))
+
+
+def _plain_percent_rank(prepared: DataFrame, ranked: Column, key: str, output: str) -> DataFrame:
+    whole = Window.partitionBy(_GROUP, _spread(~ranked, key))
+    order = whole.orderBy(_VALUE)
+    place = (F.rank().over(order) + F.count("*").over(order)) / F.lit(2.0)
+    return prepared.withColumn(output, F.when(ranked, place / F.count("*").over(whole)))
+
+
 def average_percent_rank(
     df: DataFrame,
     value: Column | str,
@@ -144,8 +170,11 @@ def average_percent_rank(
     columns = df.columns
     prepared = _prepared(df, value, group)
     cuts = _cut_points(prepared, rows_per_cell, max_cells, MAX_GROUPS)
-    celled = _with_cells(prepared, cuts)
     ranked = F.col(_VALUE).isNotNull() & F.col(_GROUP).isNotNull()
+    if not any(points for _, points in cuts.values()):
+        # every group fits in one cell: order it as it is
+        return _plain_percent_rank(prepared, ranked, key, output).select(*columns, output)
+    celled = _with_cells(prepared, cuts)
     sizes = celled.where(ranked).groupBy(_GROUP, CELL).agg(
         F.count("*").alias("n"), (F.min(_VALUE) == F.max(_VALUE)).alias("single")
     )
@@ -153,7 +182,7 @@ def average_percent_rank(
     joined = celled.join(F.broadcast(_offsets(sizes, ["n"])), [_GROUP, CELL], "left")
     # rows of one-value cells and unranked rows need no order, so no single task gets them
     free = F.coalesce(F.col("single"), F.lit(True)) | ~ranked
-    spread = F.when(free, F.pmod(F.xxhash64(F.col(key)), F.lit(_SPREAD))).otherwise(F.lit(-1))
+    spread = _spread(free, key)
     in_cell = Window.partitionBy(_GROUP, CELL, spread).orderBy(_VALUE)
     lowest, highest = F.rank().over(in_cell), F.count("*").over(in_cell)
     place = F.when(F.col("single"), (F.col("n") + 1) / F.lit(2.0)).otherwise(
@@ -195,6 +224,17 @@ def running_totals(
         .agg(*[F.sum(c).alias(name) for name, c in sums.items()])
     )
     names = list(sums)
+    if not points:
+        # the table fits in one cell: order it as it is
+        in_group = Window.partitionBy(_GROUP)
+        below = in_group.orderBy(_VALUE).rowsBetween(Window.unboundedPreceding, -1)
+        return table.select(
+            _GROUP,
+            _VALUE,
+            *names,
+            *[F.coalesce(F.sum(n).over(below), F.lit(0)).alias(f"{n}_below") for n in names],
+            *[F.sum(n).over(in_group).alias(f"{n}_total") for n in names],
+        )
     cells = table.groupBy(_GROUP, CELL).agg(*[F.sum(n).alias(n) for n in names])
     offsets = _offsets(cells, names).drop(*names)
     # no hint: if this join shuffles, the window below reuses its partitioning
@@ -316,22 +356,9 @@ def key_digest(key: Column | str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
 
 
-def _digest_counts(df: DataFrame, group: Column, digest: Column, max_groups: int) -> dict:
-    """Counts per group and digest prefix; at most max_groups x 4096 rows."""
-    prefix = F.substring(digest, 1, _DIGEST_PREFIX)
-    rows = (
-        df.where(group.isNotNull())
-        .groupBy(group.alias("g"), prefix.alias("cell"))
-        .count()
-        .limit(max_groups * 16**_DIGEST_PREFIX + 1)
-        .collect()
-    )
-    out: dict = {}
-    for g, cell, n in rows:
-        out.setdefault(g, {})[cell] = n
-    if len(out) > max_groups:
-        raise TooManyGroups(f"more than {max_groups} strata")
-    return out
+def _digest_at(share: float) -> str:
+    """Digest prefix below which about ``share`` of all digests lie."""
+    return "" if share <= 0 else "~" if share >= 1 else format(int(share * 16**12), "012x")
 
 
 def digest_cuts(
@@ -344,41 +371,49 @@ def digest_cuts(
     """Digests that end the first k rows of each group, in digest order.
 
     ``targets`` maps group sizes to ascending values of k per group. Returns, for
-    each group and k, the digest of the k-th row ("" for k = 0). Two small jobs:
-    counts by digest prefix, then the order of the few prefixes that hold a cut.
+    each group and k, the digest of the k-th row ("" for k = 0).
+
+    Digests are uniform, so the k-th of n lies within a few standard deviations,
+    about sqrt(n) rows, of the share k / n. Rows below that window are counted,
+    and only rows inside it are ordered; a miss is repeated with a wider window.
     """
-    counts = _digest_counts(df, group, digest, max_groups)
-    sizes = {g: sum(cells.values()) for g, cells in counts.items()}
-    wanted = targets(sizes)
-    found: dict[tuple[object, int], str] = {}
-    places: dict[tuple[object, str, int], tuple[object, int]] = {}
-    for g, ks in wanted.items():
-        for k in ks:
-            if k <= 0:
-                found[g, k] = ""
-                continue
-            before = 0
-            for cell in sorted(counts[g]):
-                if before + counts[g][cell] >= k:
-                    places[g, cell, k - before] = (g, k)
-                    break
-                before += counts[g][cell]
-    if places:
-        prefix = F.substring(digest, 1, _DIGEST_PREFIX)
-        keep = F.lit(False)
-        for g, cell in {(g, cell) for g, cell, _ in places}:
-            keep = keep | ((group == F.lit(g)) & (prefix == cell))
-        order = Window.partitionBy("g", "cell").orderBy("d")
-        ranked = (
-            df.where(keep)
-            .select(group.alias("g"), prefix.alias("cell"), digest.alias("d"))
-            .select("g", "cell", "d", F.row_number().over(order).alias("r"))
+    rows = df.where(group.isNotNull()).groupBy(group.alias("g")).count().limit(max_groups + 1)
+    sizes = {row["g"]: row["count"] for row in rows.collect()}
+    if len(sizes) > max_groups:
+        raise TooManyGroups(f"more than {max_groups} strata")
+    wanted = {g: [min(k, sizes[g]) for k in ks] for g, ks in targets(sizes).items()}
+    found = {(g, k): "" for g, ks in wanted.items() for k in ks if k <= 0}
+    reach = 6.0
+    while pending := [(g, k) for g, ks in wanted.items() for k in ks if (g, k) not in found]:
+        windows = []
+        for g, k in pending:
+            n = sizes[g]
+            half = reach * (math.sqrt(k * max(n - k, 1) / n) + 1) / n
+            windows.append((_digest_at(k / n - half), _digest_at(k / n + half)))
+        ours = [group == F.lit(g) for g, _ in pending]
+        below = df.agg(
+            *[
+                F.count_if(mine & (digest < low)).alias(f"b{i}")
+                for i, (mine, (low, _)) in enumerate(zip(ours, windows))
+            ]
+        ).first()
+        inside = F.array_compact(
+            F.array(
+                *[
+                    F.when(mine & (digest >= low) & (digest < high), i)
+                    for i, (mine, (low, high)) in enumerate(zip(ours, windows))
+                ]
+            )
+        )
+        ranked = df.select(digest.alias("d"), F.explode(inside).alias("i")).select(
+            "d", "i", F.row_number().over(Window.partitionBy("i").orderBy("d")).alias("r")
         )
         hit = F.lit(False)
-        for g, cell, r in places:
-            hit = hit | ((F.col("g") == F.lit(g)) & (F.col("cell") == cell) & (F.col("r") == r))
+        for i, (_, k) in enumerate(pending):
+            hit = hit | ((F.col("i") == i) & (F.col("r") == k - below[f"b{i}"]))
         for row in ranked.where(hit).collect():  # one row per cut
-            found[places[row["g"], row["cell"], row["r"]]] = row["d"]
+            found[pending[row["i"]]] = row["d"]
+        reach *= 4
     return {g: [found[g, k] for k in ks] for g, ks in wanted.items()}
 
 

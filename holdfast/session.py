@@ -20,6 +20,8 @@ def local_session(cores: str | int = "*", app: str = "holdfast", memory: str = "
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.memory", memory)
+        # wide projections compile to methods above the JIT's default size limit
+        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(parallel))
