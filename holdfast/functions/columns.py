@@ -20,6 +20,10 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def nan_to_null(c: Column) -> Column:
+    return F.nanvl(c, F.lit(None).cast("double"))
+
+
 def numeric_or_null(c: Column | str) -> Column:
     """Text to double; text that is not a plain number, or NaN, becomes null.
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from holdfast.schema import DEFAULTS
 
 _BROADCAST_ROWS = 100_000
+_HOT_SHARE = 1 / 200  # so there are fewer than 200 hot keys
+_SALTS = 256
 
 
 def attach_attributes(
@@ -19,6 +21,28 @@ def attach_attributes(
     return scored.join(attributes.select(key, *columns), key)
 
 
+def join_lookup(left: DataFrame, right: DataFrame, key: str, row_key: str) -> DataFrame:
+    """Left join to a table with unique ``key``, whatever the spread of the left keys.
+
+    A right side that a count shows to be small is broadcast. Otherwise rows of
+    hot keys, which hold over 1/200 of the left rows each, are dealt by ``row_key``
+    to as many tasks as there are salts, and their few right rows are copied.
+    """
+    if right.limit(_BROADCAST_ROWS + 1).count() <= _BROADCAST_ROWS:
+        return left.join(F.broadcast(right), key, "left")
+    total = left.count()
+    counts = left.where(F.col(key).isNotNull()).groupBy(key).count()
+    hot = [row[key] for row in counts.where(F.col("count") > total * _HOT_SHARE).collect()]
+    is_hot = F.coalesce(F.col(key).isin(*hot), F.lit(False)) if hot else F.lit(False)
+    # rows without a key match nothing, so they are dealt out as well
+    dealt = F.pmod(F.xxhash64(row_key), F.lit(_SALTS)).cast("int")
+    salted = left.withColumn("_salt", F.when(is_hot | F.col(key).isNull(), dealt).otherwise(0))
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(_SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return salted.join(right.withColumn("_salt", F.explode(copies)), [key, "_salt"], "left").drop(
+        "_salt"
+    )
+
+
 def map_values(
     df: DataFrame,
     column: str,
@@ -27,18 +51,10 @@ def map_values(
     target: str,
     output: str,
     default: object = None,
+    row_key: str = DEFAULTS.key,
 ) -> DataFrame:
-    """Replace values by a mapping table with unique ``source``; unmapped gets ``default``.
-
-    The mapping is broadcast when a count shows it to be small. A larger one is
-    joined by shuffle; adaptive execution splits its hot values.
-    """
-    right = mapping.select(F.col(source).alias("_from"), F.col(target).alias("_to"))
-    if right.limit(_BROADCAST_ROWS + 1).count() <= _BROADCAST_ROWS:
-        right = F.broadcast(right)
+    """Replace values by a mapping table with unique ``source``; unmapped gets ``default``."""
+    columns = [c for c in df.columns if c != output]
+    right = mapping.select(F.col(source).alias(column), F.col(target).alias("_to"))
     mapped = F.col("_to") if default is None else F.coalesce(F.col("_to"), F.lit(default))
-    return (
-        df.join(right, F.col(column) == F.col("_from"), "left")
-        .withColumn(output, mapped)
-        .drop("_from", "_to")
-    )
+    return join_lookup(df, right, column, row_key).select(*columns, mapped.alias(output))

@@ -17,6 +17,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from holdfast.functions import columns as C
+
 CELL = "_cell"
 _VALUE = "_value"
 _GROUP = "_group"
@@ -40,7 +42,7 @@ def _prepared(df: DataFrame, value: Column | str, group: Column | str | None) ->
     """Add the ordering value (one zero, no NaN) and the group as text."""
     v = (F.col(value) if isinstance(value, str) else value).cast("double")
     g = F.lit(_ALL) if group is None else (F.col(group) if isinstance(group, str) else group)
-    v = F.nanvl(v, F.lit(None).cast("double")) + F.lit(0.0)  # the sum turns -0.0 into 0.0
+    v = C.nan_to_null(v) + F.lit(0.0)  # the sum turns -0.0 into 0.0
     return df.withColumn(_VALUE, v).withColumn(_GROUP, g.cast("string"))
 
 

@@ -16,11 +16,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from holdfast.functions import columns as C
 from holdfast.operators.ranking import double_array, running_totals
 from holdfast.schema import DEFAULTS
 
 _MAX_DURATIONS = 20_000
 _MAX_LEVELS = 1000
+_WARM_ROWS = 1_000_000
 
 
 # --- life tables ------------------------------------------------------------------
@@ -273,8 +275,9 @@ class CoxSurvival(Estimator, _CoxParams, DefaultParamsReadable, DefaultParamsWri
 
     Risk sets are suffix sums over months, so each step is one aggregate by
     (month, event) over a cached table of the covariates; one row per month and
-    event flag returns to the driver, where a p x p system is solved. Accounts
-    with tenure 0 or a missing value are left out.
+    event flag returns to the driver, where a p x p system is solved. On large
+    tables the start comes from a fit on a sample, which saves passes and leaves
+    the maximum as it is. Accounts with tenure 0 or a missing value are left out.
     """
 
     @keyword_only
@@ -330,14 +333,11 @@ class CoxSurvival(Estimator, _CoxParams, DefaultParamsReadable, DefaultParamsWri
         rows = rows.where(complete)
         summary = rows.agg(
             F.count("*").alias("n"),
-            F.approx_count_distinct("t").alias("months"),
             *[F.avg(f"x{i}").alias(f"m{i}") for i in range(len(inputs))],
             *[F.stddev_pop(f"x{i}").alias(f"s{i}") for i in range(len(inputs))],
         ).first()
         if not summary["n"]:
             raise ValueError("no complete rows with positive duration")
-        if summary["months"] > _MAX_DURATIONS:
-            raise ValueError("durations must be whole months")
         means = np.array([summary[f"m{i}"] for i in range(len(inputs))])
         stds = np.array([summary[f"s{i}"] for i in range(len(inputs))])
         varying = [i for i in range(len(inputs)) if stds[i] > 1e-12 * max(1.0, abs(means[i]))]
@@ -349,10 +349,18 @@ class CoxSurvival(Estimator, _CoxParams, DefaultParamsReadable, DefaultParamsWri
                 for j, i in enumerate(varying)
             ],
         ).persist()
+        part = None
         try:
-            beta, information, loglik, table, steps = self._newton(scaled, len(varying))
+            start = np.zeros(len(varying))
+            if summary["n"] > 4 * _WARM_ROWS:
+                # a sample only chooses where the passes over all rows begin
+                part = scaled.where(F.rand(0) < _WARM_ROWS / summary["n"]).persist()
+                start = self._newton(part, start)[0]
+            beta, information, loglik, table, steps = self._newton(scaled, start)
         finally:
             scaled.unpersist()
+            if part is not None:
+                part.unpersist()
         covariance = np.linalg.inv(information)
         coef, error = np.zeros(len(inputs)), np.zeros(len(inputs))
         for j, i in enumerate(varying):
@@ -371,9 +379,9 @@ class CoxSurvival(Estimator, _CoxParams, DefaultParamsReadable, DefaultParamsWri
         )
         return model
 
-    def _newton(self, scaled: DataFrame, p: int):
-        ridge = self.getOrDefault("ridge")
-        beta, best, step = np.zeros(p), None, None
+    def _newton(self, scaled: DataFrame, start: np.ndarray):
+        ridge, p = self.getOrDefault("ridge"), len(start)
+        beta, best, step = start, None, None
         for passes in range(1, self.getOrDefault("maxIter") + 1):
             table = _risk_sums(scaled, beta)
             loglik, gradient, information = _partial_likelihood(table, beta)
@@ -419,6 +427,8 @@ def _risk_sums(scaled: DataFrame, beta: np.ndarray) -> dict[str, np.ndarray]:
         .limit(2 * _MAX_DURATIONS + 1)
         .toPandas()
     )
+    if len(sums) > 2 * _MAX_DURATIONS:
+        raise ValueError("durations must be whole months")
     months = np.sort(sums["t"].unique())
     at = np.searchsorted(months, sums["t"].to_numpy())
     died = sums["e"].to_numpy() == 1
@@ -497,7 +507,7 @@ class CoxSurvivalModel(Model, _CoxParams, DefaultParamsReadable, DefaultParamsWr
         super().__init__()
 
     def _inputs(self) -> list[Column]:
-        numeric = [F.col(c).cast("double") for c in self.getOrDefault("covariates")]
+        numeric = [C.nan_to_null(F.col(c).cast("double")) for c in self.getOrDefault("covariates")]
         coded = zip(self.getOrDefault("codedColumns"), self.getOrDefault("codedLevels"))
         return numeric + [(F.col(c) == F.lit(v)).cast("double") for c, v in coded]
 

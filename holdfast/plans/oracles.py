@@ -263,6 +263,24 @@ FROM labels LEFT JOIN ratios ON cohort = tenure_cohort GROUP BY tenure_cohort"""
             for c, kind in _SELECTED_INPUTS
         )
         + "\nUNION ALL SELECT 'cohort_clv_percentile', 'numeric', count(*) FROM features",
+        "rolling_volatility": """WITH monthly AS (
+SELECT o_custkey, CAST(year(o_orderdate) * 12 + month(o_orderdate) AS INTEGER) AS month,
+  CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS charge
+FROM orders GROUP BY 1, 2),
+averages AS (
+SELECT *, avg(charge) OVER (PARTITION BY o_custkey ORDER BY month
+  RANGE BETWEEN 6 PRECEDING AND 1 PRECEDING) AS average_charge FROM monthly)
+SELECT o_custkey, month, charge, round(average_charge, 6) AS average_charge,
+  round(least(COALESCE(abs(charge - average_charge) / (charge + CAST(1e-9 AS DOUBLE)), 0), 1), 6)
+    AS charge_volatility_ratio FROM averages""",
+        "support_recency_events": """WITH newest AS (SELECT CAST(max(ts) AS DATE) AS day FROM events),
+last AS (SELECT user_id, CAST(max(ts) AS DATE) AS day FROM events WHERE event_type = 'error' GROUP BY user_id),
+spans AS (
+SELECT c_custkey, CAST(newest.day - last.day AS INTEGER) AS days_since_support
+FROM customer CROSS JOIN newest LEFT JOIN last ON c_custkey = user_id)
+SELECT c_custkey, days_since_support,
+  round(COALESCE(1 / (1 + ln(CAST(1 + days_since_support AS DOUBLE))), 0), 6) AS support_recency_score
+FROM spans""",
         "predictions_list": f"{q} SELECT {_PREDICTION_COLUMNS} FROM predictions",
         "customer_lookup": f"""WITH accounts AS ({ACCOUNT_VIEW_SQL})
 SELECT s.customerID, s.churn_probability, a.Contract, a.MonthlyCharges, a.tenure

@@ -20,6 +20,7 @@ from holdfast.operators.features import (
     predictions_table,
     row_features,
 )
+from holdfast.operators.history import event_support_recency, rolling_charge_volatility
 from holdfast.operators.learn import (
     BoostedChurnModel,
     ChallengerChurnModel,
@@ -205,6 +206,31 @@ def feature_table(spark, sf):
     return out.withColumn("support_recency_score", F.round("support_recency_score", 6))
 
 
+@query
+def rolling_volatility(spark, sf):
+    """Volatility of order totals, in whole cents, against the six months before."""
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    month = F.year("o_orderdate") * 12 + F.month("o_orderdate")
+    cents = F.round(F.col("o_totalprice") * 100).cast("long")
+    out = rolling_charge_volatility(orders, "o_custkey", month, cents)
+    return out.withColumns(
+        {c: F.round(c, 6) for c in ("average_charge", "charge_volatility_ratio")}
+    )
+
+
+@query
+def support_recency_events(spark, sf):
+    """Support recency of customers from their last error event."""
+    customers = spark.read.parquet(f"{sf}/customer.parquet").select("c_custkey")
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    out = event_support_recency(customers, events, "c_custkey")
+    return out.select(
+        "c_custkey",
+        "days_since_support",
+        F.round("support_recency_score", 6).alias("support_recency_score"),
+    )
+
+
 # --- predictions and risk lists -------------------------------------------------------
 
 

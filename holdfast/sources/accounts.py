@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from holdfast.functions.columns import nan_to_null
 from holdfast.schema import ACCOUNT_COLUMNS, ACCOUNT_SCHEMA, DEFAULTS
 
 
@@ -27,7 +28,7 @@ def validate_schema(df: DataFrame) -> DataFrame:
 
 def _csv_schema(spark: SparkSession, path: str) -> T.StructType:
     """Declared types for known columns, text for extras, in the header's order."""
-    header = spark.read.option("header", True).csv(path).columns
+    header = spark.read.options(header=True, escape='"').csv(path).columns
     known = {f.name: f for f in ACCOUNT_SCHEMA}
     return T.StructType([known.get(name, T.StructField(name, T.StringType())) for name in header])
 
@@ -38,11 +39,16 @@ def read_accounts(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame
     A path that does not exist raises Spark's own PATH_NOT_FOUND error, which
     names the path. For CSV only the header decides column order, so files with
     extra or reordered columns read correctly; types are declared, not inferred.
+    NaN becomes null, the only form of missing further on.
     """
     if fmt == "csv":
-        reader = spark.read.option("header", True).option("enforceSchema", False)
-        return validate_schema(reader.schema(_csv_schema(spark, path)).csv(path))
-    return validate_schema(spark.read.format(fmt).load(path))
+        reader = spark.read.options(header=True, enforceSchema=False, escape='"')
+        df = reader.schema(_csv_schema(spark, path)).csv(path)
+    else:
+        df = spark.read.format(fmt).load(path)
+    validate_schema(df)
+    doubles = [f.name for f in df.schema if isinstance(f.dataType, T.DoubleType)]
+    return df.withColumns({c: nan_to_null(F.col(c)) for c in doubles})
 
 
 def target_distribution(df: DataFrame, target: str = DEFAULTS.target, digits: int = 3) -> DataFrame:

@@ -24,7 +24,13 @@ def write_report(df: DataFrame, path: str, order_by: Sequence[Column | str] = ()
     """
     if order_by:
         df = df.orderBy(*order_by)
-    df.write.mode("overwrite").option("header", True).csv(path)
+    options = {
+        "header": True,
+        "escape": '"',  # quotes are doubled, as other CSV readers expect
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+    }
+    df.write.mode("overwrite").options(**options).csv(path)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

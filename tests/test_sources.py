@@ -18,7 +18,8 @@ from holdfast.sources import (
 @pytest.fixture(scope="module")
 def csv_path(spark, sf, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("csv") / "accounts")
-    accounts_from_orders(spark, sf).write.option("header", True).csv(path)
+    writer = accounts_from_orders(spark, sf).write.option("header", True)
+    writer.option("ignoreTrailingWhiteSpace", False).option("ignoreLeadingWhiteSpace", False).csv(path)
     return path
 
 
@@ -40,6 +41,12 @@ def test_reordered_columns(spark, sf, tmp_path):
     assert read_accounts(spark, path).where("tenure > 72").count() == 135
 
 
+def test_nan_is_missing(spark, sf, tmp_path):
+    path = str(tmp_path / "nan")
+    accounts_from_orders(spark, sf).withColumn("MonthlyCharges", F.lit(float("nan"))).write.parquet(path)
+    assert read_accounts(spark, path, "parquet").where("MonthlyCharges IS NULL").count() == 1500
+
+
 def test_missing_path_is_named(spark):
     with pytest.raises(AnalysisException, match="no-such-accounts"):
         read_accounts(spark, "/tmp/no-such-accounts.csv")
@@ -70,6 +77,17 @@ def test_report_keeps_its_order(spark, tmp_path):
     assert ids == list(range(999, -1, -1))
 
 
+def test_report_text_round_trip(spark, tmp_path):
+    path = str(tmp_path / "text")
+    texts = [' padded ', 'a "quoted", word', "plain"]
+    write_report(spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "t string, i int"), path, ["i"])
+    lines = "".join(f.read_text() for f in sorted((tmp_path / "text").glob("*.csv")))
+    import csv
+    import io
+
+    assert [r[0] for r in csv.reader(io.StringIO(lines)) if r[0] != "t"] == texts
+
+
 def test_target_distribution(spark):
     df = spark.createDataFrame([("Yes",), ("No",), ("No",), (None,)], "Churn string")
     got = {r["Churn"]: r["share"] for r in target_distribution(df).collect()}
