@@ -219,9 +219,16 @@ def running_totals(
     )
     points = whole.get(_ALL, (0, []))[1]
     known = F.col(_VALUE).isNotNull() & F.col(_GROUP).isNotNull()
+    # declared not null, so that the join below adds no filter to one side only and
+    # both sides read the same shuffled table
+    keys = {
+        _GROUP: F.coalesce(_GROUP, F.lit("")),
+        CELL: F.coalesce(F.col(CELL), F.lit(-1)),
+    }
     table = (
         _shared_cells(prepared, points)
         .where(known)
+        .withColumns(keys)
         .groupBy(_GROUP, CELL, _VALUE)
         .agg(*[F.sum(c).alias(name) for name, c in sums.items()])
     )

@@ -84,3 +84,19 @@ def test_no_cross_joins(scored):
     for df in (M.ChurnEvaluator().evaluate(scored), M.lift_curve(scored), S.concordance(scored, "churn_probability")):
         text = plan(df)
         assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+@pytest.mark.parametrize(
+    "make",
+    [
+        lambda df: M.ChurnEvaluator().evaluate(df, **SMALL),
+        lambda df: S.concordance(df, "churn_probability", **SMALL),
+    ],
+    ids=["evaluate", "concordance"],
+)
+def test_running_totals_read_the_shuffled_table_twice_and_the_input_once(scored, make):
+    df = make(scored)
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    assert final.count("ReusedExchange") == 1
+    assert final.count("FileScan") == 1
