@@ -17,6 +17,7 @@ from holdfast.operators.ranking import average_percent_rank, double_array
 from holdfast.schema import DEFAULTS, SERVICE_COLUMNS, TENURE_COHORTS
 
 _POINTS = 1000  # stored quantiles per cohort
+_SALTS = 512
 
 
 def row_features(df: DataFrame) -> DataFrame:
@@ -87,12 +88,12 @@ class ChurnFeatures(Estimator, _FeatureParams, DefaultParamsReadable, DefaultPar
     def _fit(self, dataset: DataFrame) -> ChurnFeaturesModel:
         labels = [label for label, _, _ in TENURE_COHORTS]
         clv = C.lifetime_value()
-        points = double_array([i / _POINTS for i in range(1, _POINTS)])
-        summary = [F.avg(clv).alias("mean"), F.stddev_samp(clv).alias("std")]
-        if self.getOrDefault("percentileMode") == "fitted":
-            summary.append(F.percentile_approx(clv, points, 20 * _POINTS).alias("points"))
-        # five cohorts: a handful of rows of bounded width
-        rows = dataset.groupBy(C.tenure_cohort().alias("cohort")).agg(*summary).collect()
+        # five cohorts: a handful of rows
+        rows = (
+            dataset.groupBy(C.tenure_cohort().alias("cohort"))
+            .agg(F.avg(clv).alias("mean"), F.stddev_samp(clv).alias("std"))
+            .collect()
+        )
         by_label = {row["cohort"]: row for row in rows}
         nan = float("nan")  # stands for "none": params hold plain doubles
         model = ChurnFeaturesModel()
@@ -102,14 +103,36 @@ class ChurnFeatures(Estimator, _FeatureParams, DefaultParamsReadable, DefaultPar
             cohortStds=[_number(by_label, x, "std", nan) for x in labels],
         )
         if self.getOrDefault("percentileMode") == "fitted":
+            points = _cohort_points(dataset)
             flat = []
             for x in labels:
-                found = by_label[x]["points"] if x in by_label else None
-                flat.extend(found if found else [nan] * (_POINTS - 1))
+                flat.extend(points.get(x) or [nan] * (_POINTS - 1))
             model._set(cohortPoints=flat)
         return model
 
 
+def _cohort_points(df: DataFrame) -> dict[str, list[float]]:
+    """Quantiles of the value so far per cohort, from sketches merged in two steps.
+
+    There are only five cohorts, so sketches of all tasks are first merged over
+    many salts; each merged sketch then counts with its number of rows.
+    """
+    at = double_array([i / _POINTS for i in range(1, _POINTS)])
+    salt = F.pmod(F.spark_partition_id(), F.lit(_SALTS))  # one sketch per task and cohort
+    parts = (
+        df.select(C.tenure_cohort().alias("cohort"), C.lifetime_value().alias("v"), salt.alias("s"))
+        .where(F.col("cohort").isNotNull() & F.col("v").isNotNull())
+        .groupBy("cohort", "s")
+        .agg(F.count("*").alias("n"), F.percentile_approx("v", at, 10 * _POINTS).alias("q"))
+    )
+    merged = (
+        parts.select("cohort", "n", F.explode("q").alias("v"))
+        .groupBy("cohort")
+        .agg(F.percentile("v", at, F.col("n")).alias("points"))
+    )
+    return {row["cohort"]: row["points"] for row in merged.collect()}
+
+
 def _number(rows: dict, label: str, field: str, default: float) -> float:
     value = rows[label][field] if label in rows else None
     return default if value is None else float(value)
