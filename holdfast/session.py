@@ -11,11 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def local_session(cores: str | int = "*", app: str = "holdfast", memory: str = "8g") -> SparkSession:
-    """A single-JVM session for tests and benchmarks."""
+def local_session(
+    cores: str | int = "*", app: str = "holdfast", memory: str = "8g", folder: str | None = None
+) -> SparkSession:
+    """A single-JVM session for tests and benchmarks; ``folder`` is its checkpoint folder."""
     parallel = os.cpu_count() if cores == "*" else int(cores)
+    builder = SparkSession.builder
+    if folder:
+        builder = builder.config(CHECKPOINT_CONF, folder)
     return (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
@@ -34,23 +39,26 @@ def local_session(cores: str | int = "*", app: str = "holdfast", memory: str = "
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it.
 
-    Only a local master may fall back to a temporary folder; on a cluster a
-    machine-local path would be lost together with its executor.
+    Where none is named, only a session whose driver is its one executor gets a
+    temporary folder; on a cluster, `local-cluster` included, that is an error.
     """
     folder = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    named = context.getCheckpointDir()
+    if named:
+        return named
+    if not (context.master == "local" or context.master.startswith("local[")):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="holdfast-")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="holdfast-"))
+    return context.getCheckpointDir()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Point RDD checkpoints (used by iterative tree fits) at the shared folder."""
     folder = shared_folder(spark)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
 
 
