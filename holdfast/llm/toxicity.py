@@ -203,7 +203,7 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def _descend(rows: list[tuple[np.ndarray, int]], n: int, rounds: int = 300) -> tuple[np.ndarray, float]:
+def _descend(rows: list[tuple[np.ndarray, int]], n: int, rounds: int = 500) -> tuple[np.ndarray, float]:
     """Full-batch gradient descent (with momentum) of a logistic model over present features."""
     y = np.array([t for _, t in rows], np.float64)
     at = np.concatenate([p for p, _ in rows]) if rows else np.zeros(0, np.int64)
@@ -215,7 +215,7 @@ def _descend(rows: list[tuple[np.ndarray, int]], n: int, rounds: int = 300) -> t
     for _ in range(rounds):
         z = b + np.bincount(doc, w[at], len(rows))
         g = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - y
-        gw = np.bincount(at, g[doc], n) * scale + 0.02 * w
+        gw = np.bincount(at, g[doc], n) * scale + 0.002 * w
         vw, vb = 0.9 * vw - 0.05 * gw, 0.9 * vb - 0.05 * g.sum() / np.sqrt(len(rows))
         w, b = w + vw * scale, b + vb / np.sqrt(len(rows))
     return w, float(b)

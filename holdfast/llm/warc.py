@@ -212,9 +212,8 @@ def read(manifest: DataFrame, folder: str, payload: bool = True, split: int = SP
     ``payload`` the body (null for revisits). Size and digest of a response are worked out
     from its body, those of a revisit are what its header says of the full payload.
     """
-    ranges = manifest.select(
-        "path", "size", F.explode(F.sequence(F.lit(0), F.col("size") - 1, F.lit(split))).cast("long").alias("low")
-    )
+    lows = F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(split).cast("long"))
+    ranges = manifest.select("path", "size", F.explode(lows).alias("low"))
 
     def run(rows):
         fs, _ = file_system(folder)
