@@ -222,7 +222,7 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame
                 yield node, root, blocks, block, found.tobytes()
 
     # a class has the text of its smallest doc_id; other texts under that id are told by their key
-    met = dealt.join(texts, dealt["label"].eqNullSafe(texts["label"])).select(
+    met = dealt.hint("merge").join(texts, dealt["label"].eqNullSafe(texts["label"])).select(
         "node", "root", "blocks", "block", "set_key", "text"
     )
     members = map_rows(met, sets_of, "node long, root long, blocks int, block int, found binary")
