@@ -27,6 +27,7 @@ from holdfast.session import materialize
 
 BLOCK_WORDS = 64
 SHARD_SLOTS = 1 << 16
+TASK_SLOTS = 1 << 20
 MOST_PASSES = 3
 SEED = 7
 CELL_ROWS = 2000
@@ -81,11 +82,14 @@ def place(docs: DataFrame, weights: Column | None = None, keep: tuple[str, ...]
     weigh 1, 2, 3, repeating. The list (name, rows, size) comes to the driver and is
     checked against MAX_SOURCES.
     """
-    sized = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("source").cast("string").alias("source"),
-        word_count(F.col("text").cast("string")).alias("size"),
-        *(F.col(c).alias(c) for c in keep),
+    # words are counted once; later passes read the written columns they need
+    sized = materialize(
+        docs.select(
+            F.col("doc_id").cast("long").alias("doc_id"),
+            F.col("source").cast("string").alias("source"),
+            word_count(F.col("text").cast("string")).alias("size"),
+            *(F.col(c).alias(c) for c in keep),
+        )
     )
     counted = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
     rows = counted.limit(MAX_SOURCES + 1).collect()
@@ -173,7 +177,9 @@ def slots(spark: SparkSession, sizes: list[int], targets: list[float], block: in
                 spot = permute(base + i, np.full(len(i), size_here), np.full(len(i), np.uint64(shard * 2654435761 + seed)))
                 yield from zip([shard] * len(i), spot.tolist(), source.tolist(), turn.tolist(), picked.tolist())
 
-    return map_rows(numbered, fill, out)
+    # few narrow rows make many slots: they are dealt by the slots they make, not by their own size
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_SLOTS))
+    return map_rows(numbered.repartition(parts, "shard", "source_no"), fill, out)
 
 
 def spans(placed: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
@@ -203,12 +209,12 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     )
     taken = (
         spans(placed)
-        .join(used, ["source_no", "block"])
+        .join(used.hint("merge"), ["source_no", "block"])  # both sides grow with the input
         .groupBy("source_no", "start")
         .agg(F.sum(F.col("words") * F.col("uses")).alias("taken"))
         .withColumn("full", F.lit(True))
     )
-    return placed.withColumn("full", F.col("size") > 0).join(taken, ["source_no", "start", "full"], "left").select(
+    return placed.withColumn("full", F.col("size") > 0).join(taken.hint("merge"), ["source_no", "start", "full"], "left").select(
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
     )
 
@@ -237,11 +243,11 @@ def mixed_texts(docs: DataFrame) -> DataFrame:
     placed = materialize(found)
     taken = (
         spans(placed)
-        .join(slots(docs.sparkSession, listed["sizes"], listed["targets"]), ["source_no", "block"])
+        .join(slots(docs.sparkSession, listed["sizes"], listed["targets"]).hint("merge"), ["source_no", "block"])
         .groupBy("source_no", "start", "pass")
         .agg(F.sum("words").alias("taken"), F.collect_list(F.struct("from", "words")).alias("parts"))
     )
-    met = placed.where(F.col("size") > 0).join(taken, ["source_no", "start"]).select(
+    met = placed.where(F.col("size") > 0).join(taken.hint("merge"), ["source_no", "start"]).select(
         "doc_id",
         "text",
         "lang",
