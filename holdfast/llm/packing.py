@@ -26,7 +26,7 @@ from holdfast.llm.words import documents_of, map_rows
 from holdfast.session import materialize
 
 CAPACITY = 2048
-GROUP_ROWS = 16_384
+GROUP_ROWS = 4096
 CACHE_WORDS = 600_000
 
 
