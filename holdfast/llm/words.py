@@ -143,5 +143,5 @@ def runs(rows: Iterator[tuple], keys: int) -> Iterator[tuple[tuple, list[tuple]]
 
 def documents_of(docs: DataFrame, *more: str) -> DataFrame:
     """Only the columns an operator works on, with their types; other columns never clash."""
-    kinds = {"doc_id": "long"}
+    kinds = {"doc_id": "long", "n_chars": "long"}
     return docs.select(*(F.col(c).cast(kinds.get(c, "string")).alias(c) for c in ("doc_id", "text", *more)))
