@@ -27,7 +27,7 @@ from holdfast.session import materialize
 
 CAPACITY = 2048
 GROUP_ROWS = 4096
-CACHE_WORDS = 600_000
+CACHE_WORDS = 1_000_000
 
 
 class TightestFit:
@@ -99,20 +99,30 @@ class WordIds(dict):
     those of its parts in order. Plain words go straight to the merge model.
     """
 
-    _PLAIN = re.compile(r"[A-Za-z]+")
+    # letters that lower-casing and composing leave alone but for case, and signs behind them:
+    # the tokenizer splits between the two
+    _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:%&$*#]*)")
 
     def __init__(self, tokenizer):
         super().__init__()
         tokenizer.no_truncation()
         self.tokenizer, self.model = tokenizer, tokenizer.model
+        # byte-level vocabularies write printable bytes as themselves and number the others from 256
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        other = iter(range(256, 512))
+        self.letters = [chr(b) if b in plain else chr(next(other)) for b in range(256)]
 
     def __missing__(self, part: str) -> bytes:
-        if self._PLAIN.fullmatch(part) and len(part) < 1000:
-            low = part.lower()
-            ids = [t.id for t in self.model.tokenize(low)]
+        m = self._PLAIN.fullmatch(part)
+        if m and len(part) < 1000:
+            word, signs = m[1].lower(), m[2]
+            if signs or word != part:
+                packed = self[word] + self[signs]
+            else:
+                known = word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode()))
+                packed = array("I", [t.id for t in self.model.tokenize(known)]).tobytes()
         else:
-            ids = self.tokenizer.encode(part, add_special_tokens=False).ids
-        packed = array("I", ids).tobytes()
+            packed = array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
         if len(self) < CACHE_WORDS and len(part) < 64:
             self[part] = packed
         return packed
