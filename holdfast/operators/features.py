@@ -118,7 +118,7 @@ def _cohort_points(df: DataFrame) -> dict[str, list[float]]:
     many salts; each merged sketch then counts with its number of rows.
     """
     at = double_array([i / _POINTS for i in range(1, _POINTS)])
-    salt = F.pmod(F.spark_partition_id(), F.lit(_SALTS))  # one sketch per task and cohort
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(_SALTS))  # by the row, however it is partitioned
     parts = (
         df.select(C.tenure_cohort().alias("cohort"), C.lifetime_value().alias("v"), salt.alias("s"))
         .where(F.col("cohort").isNotNull() & F.col("v").isNotNull())

@@ -112,10 +112,21 @@ class _ChurnModel:
         )
 
     def save(self, path: str) -> None:
+        """Write the fitted stages and, beside them, the threshold and exclusions."""
+        from pyspark.sql import SparkSession
+
         self.model_.write().overwrite().save(path)
+        settings = SparkSession.getActiveSession().createDataFrame(
+            [(self.threshold, list(self.exclude))], "threshold double, exclude array<string>"
+        )
+        settings.coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/settings")
 
     def load(self, path: str):
+        from pyspark.sql import SparkSession
+
         self.model_ = PipelineModel.load(path)
+        settings = SparkSession.getActiveSession().read.parquet(f"{path.rstrip('/')}/settings").first()
+        self.threshold, self.exclude = settings["threshold"], tuple(settings["exclude"])
         return self
 
 
@@ -291,11 +302,13 @@ def search(
     ``grid`` maps names of the tree stage's params to values. With ``trials``
     a seeded draw of that many combinations is tried in place of all of them.
     """
+    import copy
     import itertools
     import random
 
     ensure_checkpoint_dir(df.sparkSession)
     folded = stratified_folds(df, label, key, folds, seed, "_fold")
+    model = copy.copy(model)  # the caller's model stays as it is
     model.exclude = (*model.exclude, "_fold")
     pipeline = model.pipeline(folded)
     trees = pipeline.getStages()[-1]

@@ -17,8 +17,8 @@ _SALTS = 256
 def attach_attributes(
     scored: DataFrame, attributes: DataFrame, columns: Sequence[str], key: str = DEFAULTS.key
 ) -> DataFrame:
-    """Add attribute columns by customer key (unique on both sides)."""
-    return scored.join(attributes.select(key, *columns), key)
+    """Add attribute columns by customer key (unique on both sides); null where there are none."""
+    return scored.join(attributes.select(key, *columns), key, "left")
 
 
 def join_lookup(left: DataFrame, right: DataFrame, key: str, row_key: str) -> DataFrame:

@@ -360,9 +360,9 @@ def exact_median(df: DataFrame, value: Column | str, **cells: int) -> float | No
 
 
 def key_digest(key: Column | str, seed: int) -> Column:
-    """Seeded digest of the key; the same text on any engine."""
+    """Seeded digest of the key, the same text on any engine; a missing key counts as empty text."""
     key = F.col(key) if isinstance(key, str) else key
-    return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit(""))))
 
 
 def _digest_at(share: float) -> str:
@@ -386,7 +386,7 @@ def digest_cuts(
     about sqrt(n) rows, of the share k / n. Rows below that window are counted,
     and only rows inside it are ordered; a miss is repeated with a wider window.
     """
-    rows = df.where(group.isNotNull()).groupBy(group.alias("g")).count().limit(max_groups + 1)
+    rows = df.groupBy(group.alias("g")).count().limit(max_groups + 1)
     sizes = {row["g"]: row["count"] for row in rows.collect()}
     if len(sizes) > max_groups:
         raise TooManyGroups(f"more than {max_groups} strata")
@@ -399,7 +399,7 @@ def digest_cuts(
             n = sizes[g]
             half = reach * (math.sqrt(k * max(n - k, 1) / n) + 1) / n
             windows.append((_digest_at(k / n - half), _digest_at(k / n + half)))
-        ours = [group == F.lit(g) for g, _ in pending]
+        ours = [group.eqNullSafe(F.lit(g)) for g, _ in pending]
         below = df.agg(
             *[
                 F.count_if(mine & (digest < low)).alias(f"b{i}")
@@ -422,6 +422,9 @@ def digest_cuts(
             hit = hit | ((F.col("i") == i) & (F.col("r") == k - below[f"b{i}"]))
         for row in ranked.where(hit).collect():  # one row per cut
             found[pending[row["i"]]] = row["d"]
+        missing = [x for x, w in zip(pending, windows) if x not in found and w == ("", "~")]
+        if missing:
+            raise RuntimeError(f"the table changed between passes: no digest ends {missing}")
         reach *= 4
     return {g: [found[g, k] for k in ks] for g, ks in wanted.items()}
 
@@ -433,16 +436,21 @@ def part_by_cuts(group: Column, digest: Column, cuts: Mapping[object, Sequence[s
         beyond = F.lit(0)
         for point in points:
             beyond = beyond + (digest > point).cast("int")
-        part = F.when(group == F.lit(g), beyond).otherwise(part)
+        part = F.when(group.eqNullSafe(F.lit(g)), beyond).otherwise(part)
     return part
 
 
+def _in_order(groups: Mapping[object, object]) -> list:
+    """Group labels in order, a missing one last."""
+    return sorted(groups, key=lambda g: (g is None, 0 if g is None else g))
+
+
 def largest_remainder(sizes: Mapping[object, int], total: int) -> dict[object, int]:
     """Share ``total`` over the groups in proportion to their sizes, exactly."""
-    n = sum(sizes.values())
+    n = max(1, sum(sizes.values()))
     quota = {g: total * size // n for g, size in sizes.items()}
     left = total - sum(quota.values())
-    order = sorted(sizes, key=lambda g: (-(total * sizes[g] % n), g))
+    order = sorted(_in_order(sizes), key=lambda g: -(total * sizes[g] % n))
     for g in order[:left]:
         quota[g] += 1
     return quota
@@ -469,7 +477,7 @@ def stratified_split(
 def fold_sizes(sizes: Mapping[object, int], folds: int) -> dict[object, list[int]]:
     """Rows per label and fold; dealt out in turn, so fold totals differ by one at most."""
     out, start = {}, 0
-    for g in sorted(sizes):
+    for g in _in_order(sizes):
         end = start + sizes[g]
         out[g] = [(end - 1 - f) // folds - (start - 1 - f) // folds for f in range(folds)]
         start = end

@@ -78,9 +78,9 @@ def kpi_row(
     probability: str = "churn_probability",
     threshold: float = DEFAULTS.threshold,
 ) -> DataFrame:
-    """One row: revenue at risk, high-risk accounts, recall and AUC.
+    """Revenue at risk, high-risk accounts, recall and AUC; one row for each evaluation.
 
-    The two model figures are null without an evaluation (a one-row table).
+    Without one, or with an empty table of them, it is one row with null model figures.
     """
     summary = revenue_summary(df, probability, threshold)
     if evaluation is None:
@@ -88,7 +88,7 @@ def kpi_row(
             {"recall": F.lit(None).cast("double"), "auc_roc": F.lit(None).cast("double")}
         )
     one = F.lit(1)
-    right = evaluation.select("recall", "auc_roc").limit(1).withColumn("_one", one)
+    right = evaluation.select("recall", "auc_roc").withColumn("_one", one)
     return summary.withColumn("_one", one).join(right, "_one", "left").drop("_one")
 
 

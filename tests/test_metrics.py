@@ -10,10 +10,11 @@ from holdfast.operators.report import get_high_risk_customers
 SMALL = {"rows_per_cell": 10, "max_cells": 16}
 
 
-def scored(spark, n, shift, seed=42, decimals=None):
-    np.random.seed(seed)
-    y = np.random.randint(0, 2, n)
-    p = np.clip(np.random.beta(2, 5, n) + y * shift, 0, 1)
+def scored(spark, n, shift, seed=11, decimals=None):
+    """A third of the accounts churn; scores are logistic, moved up by ``shift`` for those that do."""
+    draw = np.random.default_rng(seed)
+    y = (draw.random(n) < 1 / 3).astype(int)
+    p = 1 / (1 + np.exp(0.8 - 5 * shift * y - draw.normal(0, 1.2, n)))
     if decimals is not None:
         p = np.round(p, decimals)
     frame = pd.DataFrame({"customerID": [f"C{i}" for i in range(n)], "Churn": y, "churn_probability": p})
@@ -36,18 +37,21 @@ def brute_ap(y, p):
 
 
 def test_cost_matrix_by_hand(spark):
-    rows = list(zip([1, 0, 1, 0, 1], [1, 0, 0, 1, 1]))
-    got = M.business_cost_matrix(spark.createDataFrame(rows, "Churn int, predicted int")).first()
-    assert tuple(got) == (2, 1, 1, 1, 550.0, 1000.0, 900.0)
+    # three caught, one missed, two flagged in vain, four left alone: 500 + 2 * 50 lost, 3 * 500 saved
+    rows = [(1, 1)] * 3 + [(1, 0)] + [(0, 1)] * 2 + [(0, 0)] * 4
+    got = M.business_cost_matrix(spark.createDataFrame(rows, "Churn int, predicted int")).first().asDict()
+    assert got["true_positives"] == 3 and got["true_negatives"] == 4
+    assert got["false_positives"] == 2 and got["false_negatives"] == 1
+    assert got["total_business_cost_usd"] == 600.0 and got["estimated_revenue_saved_usd"] == 1500.0
 
 
 def test_missed_churn_costs_more(spark):
-    y = [1, 1, 0, 0]
+    y = [1, 0, 0, 0, 1, 0, 1]
     costs = []
     for predicted in (1, 0):
         df = spark.createDataFrame([(v, predicted) for v in y], "Churn int, predicted int")
         costs.append(M.business_cost_matrix(df).first()["total_business_cost_usd"])
-    assert costs == [100.0, 1000.0]
+    assert costs == [200.0, 1500.0]
 
 
 @pytest.mark.parametrize("decimals,cells", [(None, {}), (2, {}), (2, SMALL), (None, SMALL)])
@@ -133,11 +137,11 @@ def test_lift_with_heavy_ties(spark, decimals, n, bins):
 
 
 def test_high_risk_by_hand(spark):
-    rows = [("A", 0.1, 500.0), ("B", 0.5, 1000.0), ("C", 0.7, 800.0), ("D", 0.3, 600.0)]
+    rows = [("u", 0.39, 9000.0), ("v", 0.40, 250.0), ("w", 0.95, 120.0), ("x", 0.02, 700.0), ("y", 0.55, 60.0)]
     df = spark.createDataFrame(rows, "customerID string, churn_probability double, estimated_clv double")
     got = [(r["customerID"], round(r["revenue_at_risk"], 6)) for r in get_high_risk_customers(df).collect()]
-    assert got == [("C", 560.0), ("B", 500.0)]
-    assert [r[0] for r in get_high_risk_customers(df, top=1).collect()] == ["C"]
+    assert got == [("w", 114.0), ("v", 100.0), ("y", 33.0)]
+    assert [r[0] for r in get_high_risk_customers(df, top=1).collect()] == ["w"]
 
 
 def test_weighted_fbeta(spark):
