@@ -27,7 +27,7 @@ from holdfast.session import materialize
 
 CAPACITY = 2048
 GROUP_ROWS = 4096
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 250_000  # about 50 MB; workers live on through later stages
 
 
 class TightestFit:
