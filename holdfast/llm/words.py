@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
+BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1000
 _PIECE = 1 << 20  # bytes hashed at a time
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -102,7 +104,7 @@ def each_row(batches: Iterator[pa.RecordBatch], size: int = 512) -> Iterator[tup
             yield from zip(*(c.to_pylist() for c in part.columns))
 
 
-def emit(rows: Iterator[tuple], schema: pa.Schema, size: int = 2048, most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+def emit(rows: Iterator[tuple], schema: pa.Schema, size: int = 2048, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Arrow batches of rows, cut by count and by the bytes of their binary and text values."""
     held, weight = [], 0
     for row in rows:
@@ -121,9 +123,14 @@ def map_rows(df: DataFrame, fn: Callable[[Iterator[tuple]], Iterator[tuple]], sc
     from pyspark.sql.types import _parse_datatype_string
 
     arrow = to_arrow_schema(_parse_datatype_string(schema))
+    # texts are long: thousands of rows a batch would fill the memory of a small executor
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(BATCH_CONF)) <= BATCH_ROWS:
+        conf.set(BATCH_CONF, str(BATCH_ROWS))
 
     def run(batches):
         yield from emit(fn(each_row(batches)), arrow)
+        pa.default_memory_pool().release_unused()  # workers live on; what they don't use goes back
 
     return df.mapInArrow(run, schema)
 
