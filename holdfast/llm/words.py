@@ -7,6 +7,7 @@ in every process and on every machine.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BATCH_ROWS = 1000
-_PIECE = 1 << 20  # bytes hashed at a time
+_PIECE = 1 << 17  # bytes hashed at a time; tables of powers and sums stay a few MB per worker
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _BASE = 0x9E3779B97F4A7C15 | 1
 
@@ -40,7 +41,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64."""
     inverse = pow(_BASE, -1, 1 << 64)
@@ -57,8 +58,7 @@ def _spans(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """One 64-bit hash for each slice ``values[start:end]``, any slices, in one pass."""
-    n = 1 << max(10, int(len(values)).bit_length())
-    up, down = _powers(n)
+    up, down = _powers(1 << max(_PIECE.bit_length(), len(values).bit_length()))
     total = np.zeros(len(values) + 1, np.uint64)
     np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[: len(values)], out=total[1:])
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
@@ -104,6 +104,14 @@ def each_row(batches: Iterator[pa.RecordBatch], size: int = 512) -> Iterator[tup
             yield from zip(*(c.to_pylist() for c in part.columns))
 
 
+def give_back() -> None:
+    """Unused memory of a worker process back to the system; workers live on from task to task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def emit(rows: Iterator[tuple], schema: pa.Schema, size: int = 2048, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Arrow batches of rows, cut by count and by the bytes of their binary and text values."""
     held, weight = [], 0
@@ -130,7 +138,7 @@ def map_rows(df: DataFrame, fn: Callable[[Iterator[tuple]], Iterator[tuple]], sc
 
     def run(batches):
         yield from emit(fn(each_row(batches)), arrow)
-        pa.default_memory_pool().release_unused()  # workers live on; what they don't use goes back
+        give_back()
 
     return df.mapInArrow(run, schema)
 
