@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import functools
 from collections.abc import Mapping, Sequence
 
@@ -22,7 +23,7 @@ from holdfast.operators.clean import drop_non_features
 from holdfast.operators.metrics import roc_auc, threshold_curve
 from holdfast.operators.ranking import key_digest, stratified_folds
 from holdfast.schema import CATEGORICAL_COLUMNS, DEFAULTS
-from holdfast.session import ensure_checkpoint_dir
+from holdfast.session import ensure_checkpoint_dir, materialize
 
 _LABEL, _WEIGHT = "_label", "_weight"
 _MISSING = -1.0  # below every feature's range, so a tree can set it apart
@@ -52,6 +53,14 @@ def _fill_stage(numeric: Sequence[str], categorical: Sequence[str]) -> SQLTransf
     return SQLTransformer(statement=f"SELECT *, {', '.join([*filled, *texts])} FROM __THIS__")
 
 
+def _most_levels(df: DataFrame, categorical: Sequence[str]) -> int:
+    """Room for the levels of any categorical input, the missing and the unseen one among them."""
+    if not categorical:
+        return 0
+    counts = df.agg(*[F.approx_count_distinct(c, 0.01).alias(c) for c in categorical]).first()
+    return max(math.ceil(1.1 * n) + 2 for n in counts)
+
+
 def _index_stage(categorical: Sequence[str]) -> StringIndexer:
     return StringIndexer(
         inputCols=[f"_s_{c}" for c in categorical],
@@ -141,6 +150,7 @@ class BoostedChurnModel(_ChurnModel):
             stages.append(_index_stage(categorical))
         inputs = [f"_n_{c}" for c in numeric] + [f"_i_{c}" for c in categorical]
         stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
+        bins = max(p.get("bins", 64), _most_levels(df, categorical))
         stages.append(
             GBTClassifier(
                 featuresCol="features",
@@ -152,7 +162,7 @@ class BoostedChurnModel(_ChurnModel):
                 minInstancesPerNode=p.get("min_child_rows", DEFAULTS.min_child_rows),
                 subsamplingRate=p.get("subsample", DEFAULTS.subsample),
                 featureSubsetStrategy=str(p.get("feature_subset", DEFAULTS.subsample)),
-                maxBins=p.get("bins", 64),
+                maxBins=bins,
                 cacheNodeIds=True,
                 checkpointInterval=10,
                 seed=p.get("seed", DEFAULTS.seed),
@@ -390,10 +400,11 @@ def permutation_importance(
     shuffled = permute_columns(df, used, key, seed).persist()
     try:
         def auc(swapped: tuple[str, ...]) -> float:
-            # one pass of scoring; only the label and the score go on
+            # one pass of scoring: label and score are written, and measured from there
             other = {c: F.col(f"{c}__other") for c in swapped}
             scored = model.predict_proba(shuffled.withColumns(other) if other else shuffled)
-            return roc_auc(scored.select(label, "churn_probability"), label).first()["auc_roc"]
+            written = materialize(scored.select(label, "churn_probability"))
+            return roc_auc(written, label).first()["auc_roc"]
 
         base = auc(())
         rows = [(" x ".join(g), base, auc(g)) for g in groups]

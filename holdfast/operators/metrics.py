@@ -235,15 +235,26 @@ def lift_curve(
     """
     known = _known(df, label, probability)
     curve = score_curve(df, label, probability, **cells)
-    n = F.col("pos_total") + F.col("neg_total")
-    here = F.col("pos") + F.col("neg")
-    first = n - F.col("pos_below") - F.col("neg_below") - here  # rows with higher scores
-    # row r opens bin b when r is the first with floor(r * bins / n) = b
-    opens = F.ceil(F.col("bin") * n / F.lit(float(bins))).cast("long")
+    scores = curve.select(
+        "score",
+        (F.col("pos_total") + F.col("neg_total")).alias("n"),
+        (F.col("pos") + F.col("neg")).alias("ties"),
+        # rows with higher scores
+        (
+            F.col("pos_total") + F.col("neg_total")
+            - F.col("pos_below") - F.col("neg_below") - F.col("pos") - F.col("neg")
+        ).alias("above"),
+    )
+    # bin b opens at row ceil(b x n / bins), so these are the bins that open inside a score
+    opened = scores.withColumns(
+        {
+            "low": F.expr(f"(above * {bins}) div n + 1"),
+            "high": F.expr(f"least(((above + ties) * {bins}) div n, {bins - 1})"),
+        }
+    ).where("low <= high")
     cut_rows = (
-        curve.withColumn("bin", F.explode(F.sequence(F.lit(1), F.lit(bins - 1))))
-        .where((opens > first) & (opens <= first + here))
-        .select("bin", "score", (opens - first).alias("k"), here.alias("ties"))
+        opened.withColumn("bin", F.explode(F.sequence("low", "high")))
+        .select("bin", "score", F.expr(f"(bin * n + {bins - 1}) div {bins} - above").alias("k"), "ties")
         .collect()  # one row per cut
         if bins > 1
         else []

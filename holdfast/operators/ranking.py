@@ -2,37 +2,49 @@
 
 The plain forms of these operators order a whole table, or one of a handful of
 groups, inside a single task. Here rows first fall into *cells*: ranges of the
-ordering value, cut at approximate quantiles. Counts per cell give exact offsets,
-so only rows of one cell ever have to be ordered together. A value so frequent
-that it would fill a cell is itself a cut point and gets a cell of its own, where
-no ordering is needed and rows may be spread freely.
+ordering value, cut at approximate quantiles of the whole table, whatever their
+group. Counts per (group, cell) give exact offsets, so only rows of one cell ever
+have to be ordered together. A value so frequent that it would fill a cell is itself
+a cut point and gets a cell of its own, where no ordering is needed and rows may be
+spread freely.
+
+Cells have two levels. The first has at most ``max_cells`` cut points, known when a
+plan is made. On larger tables each of its cells is cut again, at points kept in a
+written table of one row per cell, so rows per cell stay the same as tables grow.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Mapping, Sequence
+import sys
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast.functions import columns as C
+from holdfast.session import materialize
 
 CELL = "_cell"
 _VALUE = "_value"
 _GROUP = "_group"
 _ALL = "all"  # group label when the caller has no groups
+_CUTS, _TOPS, _TOP, _FREE = "_cuts", "_tops", "_top", "_free"
 
 ROWS_PER_CELL = 200_000
-MAX_CELLS = 4096
-MAX_GROUPS = 64
+MAX_CELLS = 4096  # of the first level
+MAX_GROUPS = 64  # strata of a split
+BROADCAST_CUTS = 1 << 24  # cut points of the second level, 8 bytes each
 _SAMPLE = 50  # sampled rows per cell
-_SPREAD = 4096
+_HOT_CELLS = 1_000_000  # cells whose rows are spread, at most
+_SPREAD = 1 << 20
+_SALTS = 64
+_LEVEL = 32  # bits of a cell number below its first level
 
 
 class TooManyGroups(ValueError):
-    """More groups than the cell tables are meant for."""
+    """More strata than a split is meant for."""
 
 
 # --- cells --------------------------------------------------------------------
@@ -46,106 +58,158 @@ def _prepared(df: DataFrame, value: Column | str, group: Column | str | None) ->
     return df.withColumn(_VALUE, v).withColumn(_GROUP, g.cast("string"))
 
 
+def _known() -> Column:
+    return F.col(_VALUE).isNotNull() & F.col(_GROUP).isNotNull()
+
+
 def double_array(values: Sequence[float]) -> Column:
     """A constant array; parsed as one text, so long lists stay cheap to plan."""
     return F.split(F.lit(",".join(repr(v) for v in values)), ",").cast("array<double>")
 
 
+def _quantiles(parts: int) -> Column:
+    """The values at 1/parts, 2/parts, ... of a sample."""
+    return F.percentile_approx(
+        _VALUE, double_array([i / parts for i in range(1, parts)]), 10 * parts
+    )
+
+
 def _cut_points(
-    prepared: DataFrame, rows_per_cell: int, max_cells: int, max_groups: int
-) -> dict[str, tuple[int, list[float]]]:
-    """Per group: row count and cut points, about one per ``rows_per_cell`` rows.
+    prepared: DataFrame, rows_per_cell: int, max_cells: int, n: int | None = None
+) -> tuple[int, list[float]]:
+    """Row count and cut points of the first level, about one per ``rows_per_cell`` rows.
 
-    Counts are exact. Cut points come from a random sample of a fixed size per
-    group: they only decide how evenly the work is spread, never a result, and
+    The count is exact. Cut points come from a random sample of a fixed size per
+    cell: they only decide how evenly the work is spread, never a result, and
     merging quantile sketches of every task would not scale with the input.
     """
-    known = prepared.where(F.col(_VALUE).isNotNull() & F.col(_GROUP).isNotNull())
-    rows = known.groupBy(_GROUP).count().limit(max_groups + 1).collect()
-    if len(rows) > max_groups:
-        raise TooManyGroups(f"more than {max_groups} groups")
-    sizes = {row[_GROUP]: row["count"] for row in rows}
-    cells = {g: min(max_cells, math.ceil(n / rows_per_cell)) for g, n in sizes.items()}
-    most = max(cells.values(), default=1)
-    if most == 1:
-        return {g: (n, []) for g, n in sizes.items()}
-    share = F.lit(0.0)
-    for g, n in sizes.items():
-        if cells[g] > 1:
-            share = F.when(F.col(_GROUP) == g, min(1.0, _SAMPLE * cells[g] / n)).otherwise(share)
-    quantiles = double_array([i / most for i in range(1, most)])
-    found = (
-        known.where(F.rand(0) < share)
-        .groupBy(_GROUP)
-        .agg(F.percentile_approx(_VALUE, quantiles, 10 * most).alias("q"))
-        .collect()  # one bounded row per group
-    )
-    points = {row[_GROUP]: row["q"] for row in found}
-    out = {}
-    for g, n in sizes.items():
-        k = cells[g]
-        picks = {points[g][math.ceil(i * most / k) - 1] for i in range(1, k)} if g in points else ()
-        out[g] = (n, sorted(p for p in picks if math.isfinite(p)))
+    known = prepared.where(_known())
+    n = known.count() if n is None else n
+    cells = min(max_cells, math.ceil(n / rows_per_cell))
+    if cells <= 1:
+        return n, []
+    sample = known.where(F.rand(0) < min(1.0, _SAMPLE * cells / n))
+    return n, _apart(sample.agg(_quantiles(cells)).first()[0] or [])
+
+
+def _apart(points: Iterable[float]) -> list[float]:
+    """Finite points in order, none the direct successor of another."""
+    out: list[float] = []
+    for p in sorted(set(points)):
+        if abs(p) < sys.float_info.max and not (out and p == math.nextafter(out[-1], math.inf)):
+            out.append(p)
     return out
 
 
 def _edges(points: Sequence[float]) -> list[float]:
-    """Bucket edges that also give every cut point a cell of its own."""
-    inner = sorted(set(points) | {math.nextafter(p, math.inf) for p in points})
+    """Bucket edges that also give every cut point a cell of its own, at odd numbers."""
+    inner = [edge for p in points for edge in (p, math.nextafter(p, math.inf))]
     return [-math.inf, *inner, math.inf]
 
 
-def _shared_cells(prepared: DataFrame, points: Sequence[float]) -> DataFrame:
-    """Cells cut at the same points in every group."""
+def _pieces(n: int, rows_per_cell: int, max_cells: int) -> int:
+    """Cells of the second level in each of the first."""
+    return math.ceil(n / (rows_per_cell * max_cells))
+
+
+def _with_cells(
+    prepared: DataFrame, n: int, points: Sequence[float], rows_per_cell: int, max_cells: int
+) -> DataFrame:
+    """Add the cell number: non-decreasing in the value, equal for equal values."""
     if not points:
-        return prepared.withColumn(CELL, F.lit(0))
-    out = Bucketizer(
+        return prepared.withColumn(CELL, F.lit(0).cast("long"))
+    first = Bucketizer(
         splits=_edges(points), inputCol=_VALUE, outputCol=CELL, handleInvalid="keep"
     ).transform(prepared)
-    return out.withColumn(CELL, F.col(CELL).cast("int"))
+    first = first.withColumn(CELL, F.shiftleft(F.col(CELL).cast("long"), _LEVEL))
+    pieces = _pieces(n, rows_per_cell, max_cells)
+    return first if pieces <= 1 else _cut_again(first, len(points) + 1, pieces, rows_per_cell)
 
 
-def _with_cells(prepared: DataFrame, cuts: Mapping[str, tuple[int, list[float]]]) -> DataFrame:
-    """Add the cell number: non-decreasing in the value, equal for equal values."""
-    splits, names = [], {}
-    for group, (_, points) in cuts.items():
-        if points:
-            names[group] = f"_c{len(splits)}"
-            splits.append(_edges(points))
-    if not splits:
-        return prepared.withColumn(CELL, F.lit(0))
-    out = Bucketizer(
-        splitsArray=splits,
-        inputCols=[_VALUE] * len(splits),
-        outputCols=list(names.values()),
-        handleInvalid="keep",
-    ).transform(prepared)
-    cell = F.lit(0)
-    for group, name in names.items():
-        cell = F.when(F.col(_GROUP) == group, F.col(name).cast("int")).otherwise(cell)
-    return out.withColumn(CELL, cell).drop(*names.values())
+def _cut_again(first: DataFrame, cells: int, pieces: int, rows_per_cell: int) -> DataFrame:
+    """The second level: cells that hold more than one value, cut at their own points.
+
+    A value finds its place in two steps, among every ``width``-th cut and then among
+    the cuts between two of these.
+    """
+    columns = first.columns
+    width = math.ceil(math.sqrt(pieces))
+    mixed = F.shiftright(CELL, _LEVEL).bitwiseAND(F.lit(1)) == 0
+    found = (
+        first.where(_known() & mixed & (F.rand(0) < min(1.0, _SAMPLE / rows_per_cell)))
+        .groupBy(CELL)
+        .agg(F.array_sort(F.array_distinct(_quantiles(pieces))).alias(_CUTS))
+        .where(F.size(_CUTS) > 0)
+    )
+    last = F.size(_CUTS)
+    steps = F.sequence(F.lit(1), F.ceil(last / F.lit(width)).cast("int"))
+    found = found.withColumn(
+        _TOPS, F.transform(steps, lambda i: F.element_at(_CUTS, F.least(i * width, last)))
+    )
+    inner = materialize(found)  # drawn once: every use has the same cells
+    if cells * pieces <= BROADCAST_CUTS:
+        joined = first.join(F.broadcast(inner), CELL, "left")
+    else:
+        # rows are dealt by their own hash; cells of one value, which may be large, meet nothing
+        whole = [c for c, kind in first.dtypes if "map<" not in kind]
+        salted = inner.withColumn(_TOP, F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+        salt = F.pmod(F.xxhash64(*whole), F.lit(_SALTS)).cast("int")
+        joined = first.withColumn(_TOP, salt).join(salted.hint("merge"), [CELL, _TOP], "left")
+    value = F.col(_VALUE)
+    skipped = F.size(F.filter(_TOPS, lambda t: t < value)) * F.lit(width)
+    near = F.slice(_CUTS, skipped + 1, F.lit(width))
+    below = skipped + F.size(F.filter(near, lambda c: c < value))
+    place = F.lit(2) * below + F.array_contains(near, value).cast("int")
+    inside = F.when(F.col(_CUTS).isNotNull() & value.isNotNull(), place).otherwise(0)
+    return joined.withColumn(CELL, F.col(CELL) + inside).select(*columns)
+
+
+def _one_value() -> Column:
+    """Whether the cell is that of a single cut point."""
+    return (F.shiftright(CELL, _LEVEL).bitwiseAND(F.lit(1)) == 1) | (
+        F.col(CELL).bitwiseAND(F.lit(1)) == 1
+    )
 
 
-def _offsets(cells: DataFrame, sums: Sequence[str]) -> DataFrame:
+def _offsets(cells: DataFrame, sums: Sequence[str], two_levels: bool) -> DataFrame:
     """Per (group, cell): totals of the cells before it and of the whole group.
 
-    ``cells`` holds at most groups x (2 x max_cells + 1) rows.
+    Windows run over cells of the first level in a group, and over cells of the
+    second in one of the first; neither grows with the table.
     """
-    before = Window.partitionBy(_GROUP).orderBy(CELL).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(_GROUP)
+
+    def before(parts: list[str], order: str, name: str) -> Column:
+        earlier = Window.partitionBy(*parts).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(name).over(earlier), F.lit(0))
+
+    if not two_levels:
+        for name in sums:
+            cells = cells.withColumn(f"{name}_before", before([_GROUP], CELL, name)).withColumn(
+                f"{name}_total", F.sum(name).over(whole)
+            )
+        return cells
+    cells = cells.withColumn(_TOP, F.shiftright(CELL, _LEVEL))
+    tops = cells.groupBy(_GROUP, _TOP).agg(*[F.sum(name).alias(name) for name in sums])
+    for name in sums:
+        tops = tops.withColumn(f"_{name}", before([_GROUP], _TOP, name)).withColumn(
+            f"{name}_total", F.sum(name).over(whole)
+        )
+    joined = cells.join(tops.drop(*sums), [_GROUP, _TOP])
     for name in sums:
-        cells = cells.withColumn(
-            f"{name}_before", F.coalesce(F.sum(name).over(before), F.lit(0))
-        ).withColumn(f"{name}_total", F.sum(name).over(whole))
-    return cells
+        inside = before([_GROUP, _TOP], CELL, name)
+        joined = joined.withColumn(f"{name}_before", F.col(f"_{name}") + inside)
+    return joined.drop(_TOP, *[f"_{name}" for name in sums])
 
 
 # --- percent rank -------------------------------------------------------------
 
 
 def _spread(free: Column, key: str) -> Column:
-    """Deals rows that need no order over many small window groups."""
-    return F.when(free, F.pmod(F.xxhash64(F.col(key)), F.lit(_SPREAD))).otherwise(F.lit(-1))
+    """Deals rows that need no order over very many small window groups."""
+    return F.when(free, F.pmod(F.xxhash64(F.col(key)), F.lit(_SPREAD))).otherwise(
+        F.lit(-1).cast("long")
+    )
 
 
 def _plain_percent_rank(prepared: DataFrame, ranked: Column, key: str, output: str) -> DataFrame:
@@ -166,31 +230,38 @@ def average_percent_rank(
 ) -> DataFrame:
     """Rank of ``value`` in its group over the group's size, ties averaged.
 
-    Null where the value or the group is missing. Rows are shuffled once. Groups
-    must be few (a fixed set of cohorts); any of them may hold most of the rows.
+    Null where the value or the group is missing. Rows are shuffled once. There may
+    be any number of groups, and any of them may hold most of the rows.
     """
     columns = df.columns
     prepared = _prepared(df, value, group)
-    cuts = _cut_points(prepared, rows_per_cell, max_cells, MAX_GROUPS)
-    ranked = F.col(_VALUE).isNotNull() & F.col(_GROUP).isNotNull()
-    if not any(points for _, points in cuts.values()):
-        # every group fits in one cell: order it as it is
+    n, points = _cut_points(prepared, rows_per_cell, max_cells)
+    ranked = _known()
+    if not points:
+        # the table fits in one cell: order it as it is
         return _plain_percent_rank(prepared, ranked, key, output).select(*columns, output)
-    celled = _with_cells(prepared, cuts)
-    sizes = celled.where(ranked).groupBy(_GROUP, CELL).agg(
-        F.count("*").alias("n"), (F.min(_VALUE) == F.max(_VALUE)).alias("single")
+    celled = _with_cells(prepared, n, points, rows_per_cell, max_cells)
+    sizes = celled.where(ranked).groupBy(_GROUP, CELL).agg(F.count("*").alias("n"))
+    offsets = _offsets(sizes, ["n"], _pieces(n, rows_per_cell, max_cells) > 1)
+    # large cells of one value: at most _HOT_CELLS of them reach this size
+    large = _one_value() & (F.col("n") > max(4 * rows_per_cell, math.ceil(n / _HOT_CELLS)))
+    hot = offsets.where(large).select(
+        _GROUP, CELL, *[F.col(c).alias(f"hot_{c}") for c in ("n", "n_before", "n_total")]
+    )
+    # rows of hot cells and unranked rows need no order, so no single task gets them
+    dealt = celled.join(F.broadcast(hot), [_GROUP, CELL], "left").withColumn(
+        _FREE, _spread(F.col("hot_n").isNotNull() | ~ranked, key)
     )
-    # bounded: MAX_GROUPS groups of at most 2 x max_cells + 1 cells
-    joined = celled.join(F.broadcast(_offsets(sizes, ["n"])), [_GROUP, CELL], "left")
-    # rows of one-value cells and unranked rows need no order, so no single task gets them
-    free = F.coalesce(F.col("single"), F.lit(True)) | ~ranked
-    spread = _spread(free, key)
-    in_cell = Window.partitionBy(_GROUP, CELL, spread).orderBy(_VALUE)
+    rest = offsets.where(~large).withColumn(_FREE, F.lit(-1).cast("long"))
+    # no hint: if this join shuffles, the window below reuses its partitioning
+    joined = dealt.join(rest, [_GROUP, CELL, _FREE], "left")
+    in_cell = Window.partitionBy(_GROUP, CELL, _FREE).orderBy(_VALUE)
     lowest, highest = F.rank().over(in_cell), F.count("*").over(in_cell)
-    place = F.when(F.col("single"), (F.col("n") + 1) / F.lit(2.0)).otherwise(
+    place = F.when(F.col("hot_n").isNotNull(), (F.col("hot_n") + 1) / F.lit(2.0)).otherwise(
         (lowest + highest) / F.lit(2.0)
     )
-    percent = F.when(ranked, (F.col("n_before") + place) / F.col("n_total"))
+    before, total = F.coalesce("hot_n_before", "n_before"), F.coalesce("hot_n_total", "n_total")
+    percent = F.when(ranked, (before + place) / total)
     return joined.withColumn(output, percent).select(*columns, output)
 
 
@@ -214,20 +285,18 @@ def running_totals(
     """
     prepared = _prepared(df, value, group)
     # cut over the rows handed in, before any grouping: one summary row
-    whole = _cut_points(
-        prepared.select(_VALUE, F.lit(_ALL).alias(_GROUP)), rows_per_cell, max_cells, 1
+    n, points = _cut_points(
+        prepared.select(_VALUE, F.lit(_ALL).alias(_GROUP)), rows_per_cell, max_cells
     )
-    points = whole.get(_ALL, (0, []))[1]
-    known = F.col(_VALUE).isNotNull() & F.col(_GROUP).isNotNull()
     # declared not null, so that the join below adds no filter to one side only and
     # both sides read the same shuffled table
     keys = {
         _GROUP: F.coalesce(_GROUP, F.lit("")),
-        CELL: F.coalesce(F.col(CELL), F.lit(-1)),
+        CELL: F.coalesce(F.col(CELL), F.lit(-1).cast("long")),
     }
     table = (
-        _shared_cells(prepared, points)
-        .where(known)
+        _with_cells(prepared, n, points, rows_per_cell, max_cells)
+        .where(_known())
         .withColumns(keys)
         .groupBy(_GROUP, CELL, _VALUE)
         .agg(*[F.sum(c).alias(name) for name, c in sums.items()])
@@ -244,8 +313,8 @@ def running_totals(
             *[F.coalesce(F.sum(n).over(below), F.lit(0)).alias(f"{n}_below") for n in names],
             *[F.sum(n).over(in_group).alias(f"{n}_total") for n in names],
         )
-    cells = table.groupBy(_GROUP, CELL).agg(*[F.sum(n).alias(n) for n in names])
-    offsets = _offsets(cells, names).drop(*names)
+    cells = table.groupBy(_GROUP, CELL).agg(*[F.sum(name).alias(name) for name in names])
+    offsets = _offsets(cells, names, _pieces(n, rows_per_cell, max_cells) > 1).drop(*names)
     # no hint: if this join shuffles, the window below reuses its partitioning
     joined = table.join(offsets, [_GROUP, CELL])
     below = (
@@ -265,95 +334,104 @@ def values_at_ranks(
     df: DataFrame,
     value: Column | str,
     ranks: Callable[[int], Sequence[int]],
-    group: Column | str | None = None,
     rows_per_cell: int = ROWS_PER_CELL,
     max_cells: int = MAX_CELLS,
-) -> dict[str, tuple[int, dict[int, float]]]:
-    """Exact values at 0-based ranks, per group: ``{group: (rows, {rank: value})}``.
+) -> tuple[int, dict[int, float]]:
+    """Row count and exact values at 0-based ranks, ``(rows, {rank: value})``.
 
-    ``ranks`` maps a group's row count to the ranks wanted. Only the cells that
-    hold a wanted rank are ordered, after counting equal values together.
+    ``ranks`` maps the row count to the ranks wanted. Only cells that hold a wanted
+    rank are looked into; a large one is cut into cells again.
     """
-    prepared = _prepared(df, value, group)
-    cuts = _cut_points(prepared, rows_per_cell, max_cells, MAX_GROUPS)
-    celled = _with_cells(prepared, cuts).where(
-        F.col(_VALUE).isNotNull() & F.col(_GROUP).isNotNull()
-    )
-    if any(points for _, points in cuts.values()):
-        counts = celled.groupBy(_GROUP, CELL).agg(F.count("*").alias("n")).collect()
-    else:
-        counts = [{_GROUP: g, CELL: 0, "n": n} for g, (n, _) in cuts.items()]
-    by_group: dict[str, list[tuple[int, int]]] = {g: [] for g in cuts}
-    for row in counts:
-        by_group[row[_GROUP]].append((row[CELL], row["n"]))
-
-    wanted: dict[tuple[str, int], tuple[int, list[int]]] = {}  # cell -> (rows before, ranks)
-    for g, (n, _) in cuts.items():
-        pending = sorted(set(ranks(n)))
-        before = 0
-        for cell, size in sorted(by_group[g]):
-            here = [r for r in pending if before <= r < before + size]
-            if here:
-                wanted[g, cell] = (before, here)
-            before += size
+    known = _prepared(df, value, None).select(_VALUE, _GROUP).where(_known())
+    n, points = _cut_points(known, rows_per_cell, max_cells)
+    wanted = sorted({r for r in ranks(n) if 0 <= r < n})
+    return n, _values_at(known, points, wanted, rows_per_cell, max_cells)
+
+
+def _values_at(
+    known: DataFrame, points: Sequence[float], wanted: Sequence[int], rows_per_cell: int, max_cells: int
+) -> dict[int, float]:
     if not wanted:
-        return {g: (n, {}) for g, (n, _) in cuts.items()}
-
-    keep = F.lit(False)
-    for g, cell in wanted:
-        keep = keep | ((F.col(_GROUP) == g) & (F.col(CELL) == cell))
-    in_cell = Window.partitionBy(_GROUP, CELL).orderBy(_VALUE)
-    upto = celled.where(keep).groupBy(_GROUP, CELL, _VALUE).agg(F.count("*").alias("n")).select(
-        _GROUP, CELL, _VALUE, "n", F.sum("n").over(in_cell).alias("upto")
+        return {}
+    if not points:
+        # a few cells' worth of rows, equal values counted together
+        upto = known.groupBy(_GROUP, _VALUE).agg(F.count("*").alias("n")).select(
+            _VALUE, "n", F.sum("n").over(Window.partitionBy(_GROUP).orderBy(_VALUE)).alias("upto")
+        )
+        hit = F.lit(False)
+        for r in wanted:
+            hit = hit | ((F.col("upto") > r) & (F.col("upto") - F.col("n") <= r))
+        rows = upto.where(hit).collect()  # at most one row per wanted rank
+        return {r: x[_VALUE] for r in wanted for x in rows if x["upto"] - x["n"] <= r < x["upto"]}
+    celled = _with_cells(known, 0, points, rows_per_cell, max_cells)  # the first level
+    sizes = celled.groupBy(CELL).agg(
+        F.count("*").alias("n"), F.min(_VALUE).alias("low"), F.max(_VALUE).alias("high")
     )
-    hit = F.lit(False)
-    for (g, cell), (before, here) in wanted.items():
-        for r in here:
-            local = r - before
-            inside = (F.col("upto") > local) & (F.col("upto") - F.col("n") <= local)
-            hit = hit | ((F.col(_GROUP) == g) & (F.col(CELL) == cell) & inside)
-    out = {g: (n, {}) for g, (n, _) in cuts.items()}
-    for row in upto.where(hit).collect():  # at most one row per wanted rank
-        before, here = wanted[row[_GROUP], row[CELL]]
-        for r in here:
-            if row["upto"] - row["n"] <= r - before < row["upto"]:
-                out[row[_GROUP]][1][r] = row[_VALUE]
+    out: dict[int, float] = {}
+    before = 0
+    for row in sorted(sizes.collect(), key=lambda x: x[CELL]):  # at most 2 x max_cells rows
+        here = [r - before for r in wanted if before <= r < before + row["n"]]
+        if here and row["low"] == row["high"]:
+            out.update({before + r: row["low"] for r in here})
+        elif here:
+            part = celled.where(F.col(CELL) == row[CELL]).select(_VALUE, _GROUP)
+            small = row["n"] <= 4 * rows_per_cell
+            cuts = [] if small else _cut_points(part, rows_per_cell, max_cells, row["n"])[1]
+            found = _values_at(part, cuts, here, rows_per_cell, max_cells)
+            out.update({before + r: v for r, v in found.items()})
+        before += row["n"]
     return out
 
 
-def _quantile_ranks(n: int, q: float) -> tuple[int, int, float]:
-    position = (n - 1) * q
-    low = math.floor(position)
-    return low, math.ceil(position), position - low
-
-
 def exact_quantiles(
-    df: DataFrame,
-    value: Column | str,
-    quantiles: Sequence[float],
-    group: Column | str | None = None,
-    **cells: int,
-) -> dict[str, tuple[int, list[float]]]:
-    """Exact interpolated quantiles per group: ``{group: (rows, [value, ...])}``."""
+    df: DataFrame, value: Column | str, quantiles: Sequence[float], **cells: int
+) -> tuple[int, list[float]]:
+    """Row count and exact interpolated quantiles; no quantiles of no rows."""
 
     def ranks(n: int) -> list[int]:
-        return [r for q in quantiles for r in _quantile_ranks(n, q)[:2]]
-
-    out = {}
-    for g, (n, found) in values_at_ranks(df, value, ranks, group, **cells).items():
-        values = []
-        for q in quantiles:
-            low, high, part = _quantile_ranks(n, q)
-            a, b = found[low], found[high]
-            values.append(a if part == 0 or a == b else a * (1 - part) + b * part)
-        out[g] = (n, values)
-    return out
+        return [r for q in quantiles for r in (math.floor((n - 1) * q), math.ceil((n - 1) * q))]
+
+    n, found = values_at_ranks(df, value, ranks, **cells)
+    values = []
+    for q in quantiles if n else ():
+        position = (n - 1) * q
+        low, part = math.floor(position), position - math.floor(position)
+        a, b = found[low], found[math.ceil(position)]
+        values.append(a if part == 0 or a == b else a * (1 - part) + b * part)
+    return n, values
+
+
+def group_quantiles(
+    df: DataFrame, value: Column | str, quantiles: Mapping[str, float], group: Column | str, **cells: int
+) -> DataFrame:
+    """Exact interpolated quantiles of every group: ``_group`` as text, and one column per name.
+
+    There may be any number of groups, and any of them may hold most of the rows:
+    values are counted first, and running counts go cell by cell.
+    """
+    totals = running_totals(df, value, {"n": F.lit(1).cast("long")}, group, **cells)
+    position = {name: (F.col("n_total") - 1) * F.lit(float(q)) for name, q in quantiles.items()}
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("n_below") <= rank) & (rank < F.col("n_below") + F.col("n")), F.col(_VALUE)))
+
+    found = totals.groupBy(_GROUP).agg(
+        F.max("n_total").alias("n_total"),
+        *[at(F.floor(p)).alias(f"{name}_low") for name, p in position.items()],
+        *[at(F.ceil(p)).alias(f"{name}_high") for name, p in position.items()],
+    )
+    out = []
+    for name, p in position.items():
+        low, high, part = F.col(f"{name}_low"), F.col(f"{name}_high"), p - F.floor(p)
+        between = low * (F.lit(1.0) - part) + high * part
+        out.append(F.when((part == 0) | (low == high), low).otherwise(between).alias(name))
+    return found.select(_GROUP, *out)
 
 
 def exact_median(df: DataFrame, value: Column | str, **cells: int) -> float | None:
     """Exact median, the mean of the middle two for an even count."""
-    found = exact_quantiles(df, value, [0.5], **cells)
-    return found[_ALL][1][0] if found else None
+    n, values = exact_quantiles(df, value, [0.5], **cells)
+    return values[0] if n else None
 
 
 # --- splits by hashed key -----------------------------------------------------
@@ -514,8 +592,7 @@ def time_folds(
     def ranks(n: int) -> list[int]:
         return [f * n // folds for f in range(1, folds)]
 
-    found = values_at_ranks(df, time, ranks, **cells)
-    starts = sorted(set(found[_ALL][1].values())) if found else []
+    starts = sorted(set(values_at_ranks(df, time, ranks, **cells)[1].values()))
     fold = F.lit(0)
     for start in starts:
         fold = fold + (F.col(time) >= F.lit(start)).cast("int")

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from holdfast.operators.ranking import MAX_GROUPS, TooManyGroups, exact_quantiles
+from holdfast.operators.ranking import group_quantiles
 from holdfast.schema import DEFAULTS
 
 # The two published segments.
@@ -87,36 +87,13 @@ def score_distribution(
         F.max(probability).alias("max_score"),
         F.avg(probability).alias("mean_score"),
     ]
-    try:
-        found = exact_quantiles(
-            known.where(F.col(group).isNotNull()), probability, [0.25, 0.5, 0.75], group, **cells
-        )
-    except TooManyGroups:
-        # many groups: each is counted by value on its own, spread over the cluster
-        parts = F.expr("array(0.25D, 0.5D, 0.75D)")
-        return known.where(F.col(group).isNotNull()).groupBy(group).agg(
-            *basic, F.percentile(probability, parts).alias("q")
-        ).select(
-            group,
-            "accounts",
-            "min_score",
-            "max_score",
-            "mean_score",
-            F.col("q")[0].alias("q1"),
-            F.col("q")[1].alias("median_score"),
-            F.col("q")[2].alias("q3"),
-        )
-    quartiles = known.sparkSession.createDataFrame(
-        [(g, *q) for g, (_, q) in found.items()],
-        f"`{group}` string, q1 double, median_score double, q3 double",
-    )
-    # bounded: at most MAX_GROUPS rows
-    assert len(found) <= MAX_GROUPS
+    parts = {"q1": 0.25, "median_score": 0.5, "q3": 0.75}
+    quartiles = group_quantiles(known, probability, parts, group, **cells)
     return (
         known.groupBy(group)
         .agg(*basic)
-        .join(F.broadcast(quartiles), group)
-        .select(group, "accounts", "min_score", "max_score", "mean_score", "q1", "median_score", "q3")
+        .join(quartiles, F.col(group).cast("string") == F.col("_group"))
+        .select(group, "accounts", "min_score", "max_score", "mean_score", *parts)
     )
 
 

@@ -19,10 +19,12 @@ from pyspark.sql import types as T
 from holdfast.functions import columns as C
 from holdfast.operators.ranking import double_array, running_totals
 from holdfast.schema import DEFAULTS
+from holdfast.session import materialize
 
 _MAX_DURATIONS = 20_000
 _MAX_LEVELS = 1000
 _WARM_ROWS = 1_000_000
+_BROADCAST_DURATIONS = 1_000_000  # 16 bytes each
 
 
 # --- life tables ------------------------------------------------------------------
@@ -132,25 +134,34 @@ def concordance(
     was still there at t). It is concordant when the churned one has the higher
     score; equal scores count half.
 
-    No pairs are formed. Two whole-month durations differ first, reading binary
-    digits from the top, at one digit b: they share the digits above it, and the
-    shorter has 0 there. So per digit, accounts with equal higher digits form a
-    block, and every pair of different durations meets in exactly one block:
-    churned accounts with digit 0 against all accounts with digit 1. Equal
-    durations are blocks of their own, churned against censored. Per block the
-    pairs follow from running counts along the score.
+    No pairs are formed. Durations, any numbers, are numbered in order. Two
+    numbers differ first, reading binary digits from the top, at one digit b: they
+    share the digits above it, and the shorter has 0 there. So per digit, accounts
+    with equal higher digits form a block, and every pair of different durations
+    meets in exactly one block: churned accounts with digit 0 against all accounts
+    with digit 1. Equal durations are blocks of their own, churned against censored.
+    Per block the pairs follow from running counts along the score. Counts of pairs
+    are exact decimals.
     """
-    known = df.where(
-        F.col(risk).isNotNull() & F.col(duration).isNotNull() & F.col(event).isNotNull()
-    ).select(
-        F.col(risk).cast("double").alias("risk"),
-        F.col(duration).cast("int").alias("d"),
+    known = df.select(
+        (C.nan_to_null(F.col(risk).cast("double")) + F.lit(0.0)).alias("risk"),
+        (C.nan_to_null(F.col(duration).cast("double")) + F.lit(0.0)).alias("t"),
         (F.col(event) == 1).cast("long").alias("e"),
-    )
-    # equal (score, duration) pairs are merged before they are copied per digit
-    known = known.groupBy("risk", "d").agg(F.sum("e").alias("e"), F.count("*").alias("n"))
-    longest = df.agg(F.max(F.col(duration).cast("int"))).first()[0] or 0
-    digits = max(1, int(longest).bit_length())
+    ).dropna()
+    # equal (score, duration) pairs are merged before they are copied per digit, and scored once
+    known = materialize(known.groupBy("risk", "t").agg(F.sum("e").alias("e"), F.count("*").alias("n")))
+    facts = known.agg(
+        F.sum("n").alias("rows"),
+        F.min("t").alias("least"),
+        F.max("t").alias("most"),
+        F.count_if(F.col("t") != F.floor("t")).alias("broken"),
+    ).first()
+    if not facts["rows"] or (facts["least"] >= 0 and facts["most"] < 2**31 and not facts["broken"]):
+        # whole numbers from 0 on are in order as they are
+        known, top = known.withColumn("d", F.col("t").cast("long")), int(facts["most"] or 0)
+    else:
+        known, top = _numbered(known, **cells)
+    digits = max(1, top.bit_length())
     blocks = []
     zero = F.lit(0).cast("long")
     for b in range(digits):
@@ -178,23 +189,39 @@ def concordance(
     totals = running_totals(
         parts, "risk", {"churned": F.col("churned"), "stayed": F.col("stayed")}, "block", **cells
     )
-    churned = F.col("churned").cast("double")
+    # blocks without pairs go; as both totals are asked for, both sides of the join above
+    # need the same columns and read one shuffled table
+    totals = totals.where((F.col("churned_total") > 0) & (F.col("stayed_total") > 0))
+    # pairs of fewer rows than this fit a long, and so do all sums of them
+    kind = "long" if (facts["rows"] or 0) < 3_000_000_000 else "decimal(19,0)"
+
+    def pairs(stayed: str) -> Column:
+        found = F.sum(F.col("churned").cast(kind) * F.col(stayed).cast(kind))
+        return F.coalesce(found.cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))
+
     sums = totals.agg(
-        F.sum(churned * F.col("stayed_below")).alias("concordant"),
-        F.sum(churned * F.col("stayed")).alias("tied"),
-        F.sum(churned * F.col("stayed_total")).alias("pairs"),
+        pairs("stayed_total").alias("comparable_pairs"),
+        pairs("stayed_below").alias("concordant_pairs"),
+        pairs("stayed").alias("tied_pairs"),
     )
-    return sums.select(
-        F.coalesce("pairs", F.lit(0.0)).cast("long").alias("comparable_pairs"),
-        F.coalesce("concordant", F.lit(0.0)).cast("long").alias("concordant_pairs"),
-        F.coalesce("tied", F.lit(0.0)).cast("long").alias("tied_pairs"),
-        F.when(
-            F.col("pairs") > 0,
-            F.try_divide(F.col("concordant") + F.col("tied") / F.lit(2.0), F.col("pairs")),
-        ).alias("concordance_index"),
+    comparable, concordant, tied = (F.col(c).cast("double") for c in sums.columns)
+    return sums.withColumn(
+        "concordance_index",
+        F.when(comparable > 0, F.try_divide(concordant + tied / F.lit(2.0), comparable)),
     )
 
 
+def _numbered(known: DataFrame, **cells: int) -> tuple[DataFrame, int]:
+    """Column ``d`` with the number of each duration ``t`` in ascending order, and the last number."""
+    one = {"one": F.lit(1).cast("long")}
+    order = running_totals(known.select("t").distinct(), "t", one, **cells)
+    order = materialize(order.select(F.col("_value").alias("t"), F.col("one_below").alias("d")))
+    count = order.count()
+    if count <= _BROADCAST_DURATIONS:
+        order = F.broadcast(order)
+    return known.join(order, "t"), count - 1
+
+
 # --- Cox proportional hazards -------------------------------------------------------
 
 _EXACT_TIES = 20_000
@@ -238,8 +265,12 @@ def _efron_sums(total: float, dying: float, d: int) -> tuple[float, float, float
     return out[0], out[1], out[2]
 
 
+class NotConverged(RuntimeError):
+    """A fit that used up its passes."""
+
+
 class _CoxParams(Params):
-    durationCol = Param(Params._dummy(), "durationCol", "whole months observed", TypeConverters.toString)
+    durationCol = Param(Params._dummy(), "durationCol", "months observed, parts of months as well", TypeConverters.toString)
     eventCol = Param(Params._dummy(), "eventCol", "1 if churned at durationCol", TypeConverters.toString)
     covariates = Param(
         Params._dummy(),
@@ -323,7 +354,7 @@ class CoxSurvival(Estimator, _CoxParams, DefaultParamsReadable, DefaultParamsWri
         )
         inputs = model._inputs()
         rows = dataset.select(
-            F.col(self.getOrDefault("durationCol")).cast("int").alias("t"),
+            C.nan_to_null(F.col(self.getOrDefault("durationCol")).cast("double")).alias("t"),
             F.col(self.getOrDefault("eventCol")).cast("int").alias("e"),
             *[c.alias(f"x{i}") for i, c in enumerate(inputs)],
         )
@@ -355,7 +386,7 @@ class CoxSurvival(Estimator, _CoxParams, DefaultParamsReadable, DefaultParamsWri
             if summary["n"] > 4 * _WARM_ROWS:
                 # a sample only chooses where the passes over all rows begin
                 part = scaled.where(F.rand(0) < _WARM_ROWS / summary["n"]).persist()
-                start = self._newton(part, start)[0]
+                start = self._sample_start(part, start)
             beta, information, loglik, table, steps = self._newton(scaled, start)
         finally:
             scaled.unpersist()
@@ -379,6 +410,13 @@ class CoxSurvival(Estimator, _CoxParams, DefaultParamsReadable, DefaultParamsWri
         )
         return model
 
+    def _sample_start(self, part: DataFrame, start: np.ndarray) -> np.ndarray:
+        """Where the fit on a sample ends; a sample that can't be fitted leaves the start as it is."""
+        try:
+            return self._newton(part, start)[0]
+        except (NotConverged, np.linalg.LinAlgError):
+            return start
+
     def _newton(self, scaled: DataFrame, start: np.ndarray):
         ridge, p = self.getOrDefault("ridge"), len(start)
         beta, best, step = start, None, None
@@ -401,7 +439,7 @@ class CoxSurvival(Estimator, _CoxParams, DefaultParamsReadable, DefaultParamsWri
             if gain <= self.getOrDefault("tol") * max(1.0, abs(loglik)):
                 return beta, information, loglik, table, passes
             beta = beta + step
-        raise RuntimeError("Cox fit did not converge; raise maxIter or ridge")
+        raise NotConverged("Cox fit did not converge; raise maxIter or ridge")
 
 
 def _risk_sums(scaled: DataFrame, beta: np.ndarray) -> dict[str, np.ndarray]:
@@ -428,7 +466,7 @@ def _risk_sums(scaled: DataFrame, beta: np.ndarray) -> dict[str, np.ndarray]:
         .toPandas()
     )
     if len(sums) > 2 * _MAX_DURATIONS:
-        raise ValueError("durations must be whole months")
+        raise ValueError(f"more than {_MAX_DURATIONS} different durations; round them first")
     months = np.sort(sums["t"].unique())
     at = np.searchsorted(months, sums["t"].to_numpy())
     died = sums["e"].to_numpy() == 1
@@ -548,12 +586,11 @@ class CoxSurvivalModel(Model, _CoxParams, DefaultParamsReadable, DefaultParamsWr
 
     def cumulative_hazard_at(self, months: float) -> float:
         """Baseline cumulative hazard up to and including ``months``."""
-        reached = 0.0
-        for t, h in zip(self.getOrDefault("baselineMonths"), self.getOrDefault("baselineHazard")):
-            if t > months:
-                break
-            reached = h
-        return reached
+        return float(self._hazard_by([months])[0])
+
+    def _hazard_by(self, times: Sequence[float]) -> np.ndarray:
+        reached = np.searchsorted(self.getOrDefault("baselineMonths"), times, side="right")
+        return np.concatenate(([0.0], self.getOrDefault("baselineHazard")))[reached]
 
     def predict_churn_probability_at(
         self,
@@ -575,11 +612,15 @@ class CoxSurvivalModel(Model, _CoxParams, DefaultParamsReadable, DefaultParamsWr
         return df.withColumn(output, F.lit(1.0) - F.exp(-hazard * risk))
 
     def _hazard_column(self, months: Column) -> Column:
-        steps = list(zip(self.getOrDefault("baselineMonths"), self.getOrDefault("baselineHazard")))
-        last = int(max(t for t, _ in steps))
-        by_month = double_array([self.cumulative_hazard_at(m) for m in range(last + 1)])
-        place = F.when(months > last, last).when(months < 0, 0).otherwise(months.cast("int"))
-        return F.element_at(by_month, place + 1)
+        times = self.getOrDefault("baselineMonths")
+        if all(t == int(t) for t in times):
+            last = int(max(times))
+            by_month = double_array(self._hazard_by(range(last + 1)).tolist())
+            place = F.when(months > last, last).when(months < 0, 0).otherwise(months.cast("int"))
+            return F.element_at(by_month, place + 1)
+        reached = F.size(F.filter(double_array(times), lambda t: t <= months))
+        hazard = F.element_at(double_array([0.0, *self.getOrDefault("baselineHazard")]), reached + 1)
+        return F.when(months.isNotNull(), hazard)
 
     def concordance_index(self, df: DataFrame, **cells: int) -> DataFrame:
         """Harrell's concordance of this model's risk on ``df``; one row."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,11 +34,13 @@ from holdfast.operators.learn import (
     search_results,
 )
 from holdfast.operators.lookups import attach_attributes, map_values
-from holdfast.operators.ranking import stratified_folds, stratified_split, time_folds
+from holdfast.operators.ranking import exact_median, stratified_folds, stratified_split, time_folds
 from holdfast.schema import CATEGORICAL_COLUMNS, DEFAULTS
-from holdfast.session import materialize
+from holdfast.session import materialize, shared_folder
+from holdfast.sources import read_accounts
 from holdfast.sources.accounts import target_distribution
 from holdfast.sources.orders import accounts_from_orders
+from holdfast.sources.sinks import write_features, write_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -45,6 +48,8 @@ REGISTRY: dict[str, Query] = {}
 KEY = DEFAULTS.key
 # smaller forests than the library default, so that every query ends in seconds
 TREES = {"trees": 20, "depth": 4, "learning_rate": 0.2}
+# cells of two levels from a few thousand accounts on, as the defaults give from 819 million on
+CELLED = {"rows_per_cell": 200, "max_cells": 8}
 COX_INPUTS = ["MonthlyCharges", "SeniorCitizen", "charge_volatility_ratio", "service_adoption_density"]
 
 
@@ -85,6 +90,17 @@ def accounts(spark, sf):
     return accounts_from_orders(spark, sf)
 
 
+@query
+def accounts_round_trip(spark, sf):
+    """Accounts written as CSV, read with the column check, written as parquet by contract, read again."""
+    folder = f"{shared_folder(spark).rstrip('/')}/accounts-{uuid.uuid4().hex}"
+    given = accounts_from_orders(spark, sf)
+    write_report(given, f"{folder}/csv")
+    write_features(read_accounts(spark, f"{folder}/csv"), f"{folder}/parquet", ["Contract"])
+    found = read_accounts(spark, f"{folder}/parquet", "parquet")
+    return found.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in given.schema])
+
+
 @query
 def table_shape(spark, sf):
     df = accounts_from_orders(spark, sf)
@@ -115,6 +131,13 @@ def impute_median(spark, sf):
     )
 
 
+@query
+def impute_median_celled(spark, sf):
+    raw = accounts_from_orders(spark, sf)
+    median = exact_median(raw, C.numeric_or_null("TotalCharges"), **CELLED)
+    return missing_report(raw).withColumn("median_total_charges", F.lit(median))
+
+
 @query
 def categorical_text(spark, sf):
     df = accounts_from_orders(spark, sf)
@@ -199,6 +222,11 @@ def cohort_percentile(spark, sf):
     return cohort_clv_percentile(flagged(spark, sf)).select(KEY, "cohort_clv_percentile")
 
 
+@query
+def cohort_percentile_celled(spark, sf):
+    return cohort_clv_percentile(flagged(spark, sf), **CELLED).select(KEY, "cohort_clv_percentile")
+
+
 @query
 def feature_table(spark, sf):
     clean = cleaned(spark, sf)
@@ -329,14 +357,23 @@ def churn_rate_by_contract(spark, sf):
     return M.churn_rate(flagged(spark, sf), by=["Contract"])
 
 
-@query
-def evaluate_at_threshold(spark, sf):
-    out = M.ChurnEvaluator().evaluate(flagged(spark, sf))
+def _evaluated(spark, sf, **cells):
+    out = M.ChurnEvaluator().evaluate(flagged(spark, sf), **cells)
     return out.withColumns(
         {c: F.round(c, 9) for c in ("auc_roc", "auc_pr", "f2_score", "precision", "recall")}
     )
 
 
+@query
+def evaluate_at_threshold(spark, sf):
+    return _evaluated(spark, sf)
+
+
+@query
+def evaluate_at_threshold_celled(spark, sf):
+    return _evaluated(spark, sf, **CELLED)
+
+
 @query
 def threshold_curve(spark, sf):
     out = M.normalized_cost(M.ChurnEvaluator().get_threshold_curve(flagged(spark, sf)))
@@ -357,6 +394,12 @@ def lift_curve(spark, sf):
     return out.withColumns({c: F.round(c, 9) for c in ("churn_rate", "lift", "cumulative_gain")})
 
 
+@query
+def lift_curve_celled(spark, sf):
+    out = M.lift_curve(flagged(spark, sf), **CELLED)
+    return out.withColumns({c: F.round(c, 9) for c in ("churn_rate", "lift", "cumulative_gain")})
+
+
 @query
 def roc_auc(spark, sf):
     return M.roc_auc(flagged(spark, sf)).select(F.round("auc_roc", 9).alias("auc_roc"))
@@ -391,6 +434,12 @@ def score_distribution(spark, sf):
     return out.withColumn("mean_score", F.round("mean_score", 9))
 
 
+@query
+def score_distribution_celled(spark, sf):
+    out = G.score_distribution(flagged(spark, sf), **CELLED)
+    return out.withColumn("mean_score", F.round("mean_score", 9))
+
+
 @query
 def score_histogram(spark, sf):
     return G.score_histogram(flagged(spark, sf))
@@ -461,9 +510,8 @@ def fold_counts(spark, sf):
     return fold_members(spark, sf).groupBy("fold", "Churn").agg(F.count("*").alias("accounts"))
 
 
-@query
-def time_fold_counts(spark, sf):
-    df = time_folds(flagged(spark, sf).select(KEY, "tenure"), "tenure")
+def _time_fold_counts(spark, sf, **cells):
+    df = time_folds(flagged(spark, sf).select(KEY, "tenure"), "tenure", **cells)
     return df.groupBy("fold").agg(
         F.count("*").alias("accounts"),
         F.min("tenure").alias("first_month"),
@@ -471,6 +519,16 @@ def time_fold_counts(spark, sf):
     )
 
 
+@query
+def time_fold_counts(spark, sf):
+    return _time_fold_counts(spark, sf)
+
+
+@query
+def time_fold_counts_celled(spark, sf):
+    return _time_fold_counts(spark, sf, **CELLED)
+
+
 # --- survival -------------------------------------------------------------------------
 
 
@@ -488,10 +546,22 @@ def monthly_hazard(spark, sf):
     )
 
 
+def _concordance(spark, sf, **cells):
+    out = S.concordance(flagged(spark, sf), "churn_probability", **cells)
+    return out.select(
+        *[F.col(c).cast("long").alias(c) for c in out.columns[:3]],
+        F.round("concordance_index", 9).alias("concordance_index"),
+    )
+
+
 @query
 def concordance(spark, sf):
-    out = S.concordance(flagged(spark, sf), "churn_probability")
-    return out.withColumn("concordance_index", F.round("concordance_index", 9))
+    return _concordance(spark, sf)
+
+
+@query
+def concordance_celled(spark, sf):
+    return _concordance(spark, sf, **CELLED)
 
 
 def _cox(spark, sf):
@@ -558,7 +628,8 @@ def model_comparison(spark, sf):
     train, test = stratified_split(training_table(spark, sf), "Churn", KEY)
     out = None
     for name, model in (("boosted", BoostedChurnModel(**TREES)), ("challenger", ChallengerChurnModel(**TREES))):
-        row = M.ChurnEvaluator().evaluate(model.fit(train).predict_proba(test))
+        scored = model.fit(train).predict_proba(test).select("Churn", "churn_probability")
+        row = M.ChurnEvaluator().evaluate(materialize(scored))  # scored once, measured in several passes
         row = row.select(F.lit(name).alias("model"), *row.columns)
         out = row if out is None else out.unionByName(row)
     return out

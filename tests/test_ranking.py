@@ -61,11 +61,14 @@ def test_running_totals(skewed, cells):
 @pytest.mark.parametrize("cells", [{}, SMALL])
 def test_quantiles_match_numpy(skewed, cells):
     frame, df = skewed
-    found = K.exact_quantiles(df, "v", [0.0, 0.25, 0.5, 0.75, 1.0], "g", **cells)
+    wanted = [0.0, 0.25, 0.5, 0.75, 1.0]
+    n, values = K.exact_quantiles(df, "v", wanted, **cells)
+    assert n == frame["v"].count()
+    np.testing.assert_allclose(values, np.quantile(frame["v"].dropna(), wanted), rtol=0, atol=1e-12)
+    names = {f"q{i}": q for i, q in enumerate(wanted)}
+    found = K.group_quantiles(df, "v", names, "g", **cells).toPandas().set_index("_group")
     for g, part in frame.dropna().groupby("g")["v"]:
-        n, values = found[g]
-        assert n == len(part)
-        np.testing.assert_allclose(values, np.quantile(part, [0, 0.25, 0.5, 0.75, 1]), rtol=0, atol=1e-12)
+        np.testing.assert_allclose(found.loc[g, list(names)].to_numpy(float), np.quantile(part, wanted), rtol=0, atol=1e-12)
     assert K.exact_median(df, "v", **cells) == frame["v"].median()
 
 
@@ -73,10 +76,39 @@ def test_median_of_nothing(spark):
     assert K.exact_median(spark.createDataFrame([(None,)], "v double"), "v") is None
 
 
-def test_too_many_groups(spark):
-    df = spark.range(100).select(F.col("id").cast("string").alias("g"), F.col("id").cast("double").alias("v"))
-    with pytest.raises(K.TooManyGroups):
-        K.exact_quantiles(df, "v", [0.5], "g")
+@pytest.mark.parametrize("cells", [{}, SMALL])
+def test_a_hundred_groups(spark, cells):
+    id_ = F.col("id")
+    df = spark.range(3000).select(
+        id_.cast("string").alias("id"), (id_ % 100).alias("g"), F.pmod(F.xxhash64("id"), F.lit(97)).alias("v")
+    )
+    frame = df.toPandas()
+    found = K.group_quantiles(df, "v", {"m": 0.5}, "g", **cells).toPandas()
+    want = frame.groupby("g")["v"].median()
+    assert len(found) == 100 and found.set_index(found["_group"].astype(int))["m"].sort_index().tolist() == want.tolist()
+    got = K.average_percent_rank(df, "v", "id", "r", group="g", **cells).toPandas().set_index("id")["r"]
+    rank = frame.set_index("id").groupby("g")["v"].rank(pct=True)
+    pd.testing.assert_series_equal(got.reindex(rank.index), rank, check_names=False)
+
+
+@pytest.mark.parametrize("n", [2000, 8000, 32000])
+@pytest.mark.parametrize("limit", [K.BROADCAST_CUTS, 1])
+def test_rows_per_cell_stay_bounded_as_tables_grow(spark, monkeypatch, n, limit):
+    monkeypatch.setattr(K, "BROADCAST_CUTS", limit)
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, 0.0).otherwise(F.randn(7)).alias("v"), F.col("id")).cache()
+    prepared = K._prepared(df, "v", None)
+    rows, points = K._cut_points(prepared, 20, 16)
+    celled = K._with_cells(prepared, rows, points, 20, 16)
+    sizes = celled.groupBy(K.CELL).agg(F.count("*").alias("n"), F.countDistinct("v").alias("values")).toPandas()
+    assert sizes["n"].sum() == n
+    assert sizes.loc[sizes["values"] > 1, "n"].max() <= 200
+    spans = celled.groupBy(K.CELL).agg(F.min("v").alias("low"), F.max("v").alias("high")).toPandas().sort_values(K.CELL)
+    assert (spans["low"].to_numpy()[1:] > spans["high"].to_numpy()[:-1]).all()
+
+
+def test_neighbouring_cut_points():
+    up = math.nextafter(1.0, math.inf)
+    assert K._apart([up, 1.0, math.inf, 1.0, -2.5]) == [-2.5, 1.0]
 
 
 @pytest.fixture(scope="module")

@@ -3,6 +3,7 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from holdfast.operators import survival as S
 
@@ -99,7 +100,7 @@ def brute_concordance(t, e, risk):
                 pairs += 1
                 good += risk[i] > risk[j]
                 tied += risk[i] == risk[j]
-    return pairs, good, tied
+    return pairs, int(good), int(tied)
 
 
 @pytest.mark.parametrize("cells", [{}, SMALL])
@@ -114,6 +115,28 @@ def test_concordance_matches_pairs(spark, frame, cells):
     assert got["concordance_index"] == (want[1] + want[2] / 2) / want[0]
 
 
+@pytest.mark.parametrize("cells", [{}, SMALL])
+def test_concordance_takes_durations_as_given(spark, cells):
+    rng = np.random.default_rng(5)
+    t = np.concatenate((rng.normal(size=60).round(1), [3.2, 3.9, 7.5, -1.0, 1e12, 1e12, math.inf]))
+    e, risk = rng.integers(0, 2, len(t)), rng.integers(0, 9, len(t)) / 8
+    rows = list(zip(t.tolist(), e.tolist(), risk.tolist())) + [(math.nan, 1, 0.5), (None, 1, 0.5)]
+    df = spark.createDataFrame(rows, "tenure double, Churn int, risk double")
+    assert tuple(S.concordance(df, "risk", **cells).first())[:3] == brute_concordance(t, e, risk)
+
+
+def test_cox_keeps_parts_of_months(spark, frame):
+    halves = frame.assign(tenure=frame["tenure"] / 2)
+    fit = S.CoxSurvival(covariates=["MonthlyCharges"], categories=[]).fit
+    whole, half = fit(spark.createDataFrame(frame)), fit(spark.createDataFrame(halves))
+    assert half.getOrDefault("coefficients") == pytest.approx(whole.getOrDefault("coefficients"))
+    assert half.cumulative_hazard_at(6) == pytest.approx(whole.cumulative_hazard_at(12))
+    ask = [F.col("tenure"), F.lit(None).cast("double")]
+    got = spark.createDataFrame(halves).select(*[half._hazard_column(c).alias(f"h{i}") for i, c in enumerate(ask)]).toPandas()
+    assert got["h0"].to_numpy() == pytest.approx([half.cumulative_hazard_at(v) for v in halves["tenure"]])
+    assert got["h1"].isna().all()
+
+
 def test_model_concordance(model, data):
     assert 0.5 <= model.concordance_index(data).first()["concordance_index"] <= 1
 
