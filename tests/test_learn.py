@@ -103,3 +103,9 @@ def test_search(table, spark):
     found = L.search(table, model, {"maxDepth": [1, 2], "stepSize": [0.1, 0.2]}, folds=2, trials=2)
     rows = L.search_results(found, spark).collect()
     assert len(rows) == 2 and all(0 <= r["f2_score"] <= 1 for r in rows)
+
+
+def test_categories_of_many_levels(table):
+    many = table.withColumn("PaymentMethod", F.concat(F.lit("p"), F.pmod(F.xxhash64("customerID"), F.lit(100))))
+    scored = L.BoostedChurnModel(trees=1, depth=2).fit(many).predict_proba(many)
+    assert scored.where("churn_probability BETWEEN 0 AND 1").count() == many.count()
