@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import functools
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark import keyword_only
 from pyspark.ml import Pipeline, PipelineModel
@@ -71,7 +71,12 @@ def _index_stage(categorical: Sequence[str]) -> StringIndexer:
 
 
 class _ChurnModel:
-    """Shared parts of the classifiers: fit, score, importance, save and load."""
+    """Shared parts of the classifiers: fit, score, importance, save and load.
+
+    ``fit_rows`` bounds the labelled rows a model is fitted on: larger tables give a
+    sample of about that many, drawn by hashed key, as hundreds of dependent rounds
+    over all rows would not end. None fits on all of them. Every row is scored.
+    """
 
     def __init__(self, threshold: float = DEFAULTS.threshold, exclude: Sequence[str] = (), **params):
         self.threshold = threshold
@@ -83,13 +88,23 @@ class _ChurnModel:
         raise NotImplementedError
 
     def _labelled(self, df: DataFrame, label: str) -> DataFrame:
-        return df.where(F.col(label).isNotNull()).withColumns(
+        return self._bounded(df.where(F.col(label).isNotNull())).withColumns(
             {
                 _LABEL: F.col(label).cast("double"),
                 _WEIGHT: F.when(F.col(label) == 1, self.positive_weight).otherwise(1.0),
             }
         )
 
+    def _bounded(self, df: DataFrame) -> DataFrame:
+        most = self.params.get("fit_rows", DEFAULTS.fit_rows)
+        n = df.count() if most is not None else 0
+        if most is None or n <= most:
+            return df
+        numeric, categorical = feature_groups(df, self.exclude)
+        key = [DEFAULTS.key] if DEFAULTS.key in df.columns else []
+        spot = F.pmod(F.xxhash64(F.lit(self.params.get("seed", DEFAULTS.seed)), *key, *numeric, *categorical), F.lit(1 << 40))
+        return df.where(spot < int(most / n * (1 << 40)))
+
     @property
     def positive_weight(self) -> float:
         return float(self.params.get("positive_weight", DEFAULTS.positive_weight))
@@ -211,6 +226,15 @@ class ChallengerChurnModel(_ChurnModel):
 
 # --- out-of-fold scores ---------------------------------------------------------
 
+#: (rows to fit on, *tables) -> the tables with features fitted on those rows alone
+Prepare = Callable[..., Sequence[DataFrame]]
+
+
+def _unseen_scores(seen: DataFrame, held: DataFrame, make_model, label: str, prepare: Prepare | None) -> DataFrame:
+    if prepare is not None:
+        seen, held = prepare(seen, seen, held)
+    return make_model().fit(seen, label).predict_proba(held)
+
 
 def out_of_fold_scores(
     df: DataFrame,
@@ -220,19 +244,21 @@ def out_of_fold_scores(
     folds: int = DEFAULTS.folds,
     seed: int = DEFAULTS.seed,
     fold: str | None = None,
+    prepare: Prepare | None = None,
 ) -> DataFrame:
     """Score every account by a model that has not seen it.
 
     ``make_model`` returns an unfitted model that ignores the fold column.
-    Uses a given fold column, or exact stratified folds by hashed key.
+    Uses a given fold column, or exact stratified folds by hashed key. With
+    ``prepare`` features are fitted anew for each fold, on the accounts outside it.
     """
     if fold is None:
         fold = "fold"
         df = stratified_folds(df, label, key, folds, seed, fold)
     parts = []
     for f in range(folds):
-        model = make_model().fit(df.where(F.col(fold) != f), label)
-        parts.append(model.predict_proba(df.where(F.col(fold) == f)))
+        seen, held = df.where(F.col(fold) != f), df.where(F.col(fold) == f)
+        parts.append(_unseen_scores(seen, held, make_model, label, prepare))
     return functools.reduce(DataFrame.unionByName, parts)
 
 
@@ -242,12 +268,13 @@ def forward_scores(
     fold: str,
     folds: int,
     label: str = DEFAULTS.target,
+    prepare: Prepare | None = None,
 ) -> DataFrame:
     """Score each time fold by a model of the folds before it; the first has none."""
     parts = []
     for f in range(1, folds):
-        model = make_model().fit(df.where(F.col(fold) < f), label)
-        parts.append(model.predict_proba(df.where(F.col(fold) == f)))
+        seen, held = df.where(F.col(fold) < f), df.where(F.col(fold) == f)
+        parts.append(_unseen_scores(seen, held, make_model, label, prepare))
     return functools.reduce(DataFrame.unionByName, parts)
 
 

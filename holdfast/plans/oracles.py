@@ -151,6 +151,54 @@ members AS (
 SELECT p.customerID, p.Churn, CAST(count(*) FILTER (e.upto < p.place) AS INTEGER) AS fold
 FROM places p JOIN fold_ends e ON p.Churn = e.Churn GROUP BY p.customerID, p.Churn)"""
 
+# pairs of accounts with a score p
+_PAIRS = """g AS (
+SELECT p, tenure AS d, CAST(sum(Churn) AS BIGINT) AS e, count(*) AS n
+FROM scored GROUP BY 1, 2),
+pairs AS (
+SELECT a.p AS pa, b.p AS pb, a.e * CASE WHEN b.d > a.d THEN b.n ELSE b.n - b.e END AS w
+FROM (SELECT * FROM g WHERE e > 0) a JOIN g b ON b.d >= a.d),
+sums AS (
+SELECT CAST(sum(w) AS BIGINT) AS c, CAST(sum(CASE WHEN pb < pa THEN w ELSE 0 END) AS BIGINT) AS lower_,
+  CAST(sum(CASE WHEN pb = pa THEN w ELSE 0 END) AS BIGINT) AS tied FROM pairs)
+SELECT c AS comparable_pairs, lower_ AS concordant_pairs, tied AS tied_pairs,
+  round((lower_ + tied / CAST(2 AS DOUBLE)) / c, 9) AS concordance_index FROM sums"""
+
+# a Cox fit on one flag: Newton steps over the tied events of each month, after Efron
+_COX_FLAG = f"""{_clean(0)},
+months AS (
+SELECT tenure AS t, count(*) FILTER (SeniorCitizen = 0) AS m0, count(*) FILTER (SeniorCitizen = 1) AS m1,
+  count(*) FILTER (SeniorCitizen = 0 AND Churn = 1) AS d0, count(*) FILTER (SeniorCitizen = 1 AND Churn = 1) AS d1
+FROM clean WHERE tenure > 0 GROUP BY tenure),
+risk AS (
+SELECT t, d0, d1, CAST(sum(m0) OVER w AS DOUBLE) AS n0, CAST(sum(m1) OVER w AS DOUBLE) AS n1
+FROM months WINDOW w AS (ORDER BY t DESC)),
+places AS (SELECT *, unnest(range(d0 + d1)) AS place FROM risk),
+ties AS (
+SELECT n0 - d0 * (place / CAST(d0 + d1 AS DOUBLE)) AS r0, n1 - d1 * (place / CAST(d0 + d1 AS DOUBLE)) AS r1,
+  d1 / CAST(d0 + d1 AS DOUBLE) AS y FROM places),
+newton AS (
+SELECT 0 AS k, CAST(0 AS DOUBLE) AS b
+UNION ALL
+SELECT k + 1, b + sum(y - q) / sum(q * (1 - q))
+FROM (SELECT k, b, y, exp(b) * r1 / (r0 + exp(b) * r1) AS q FROM newton, ties WHERE k < 12) GROUP BY k, b),
+fitted AS (
+SELECT b, 1 / sqrt(sum(q * (1 - q))) AS se
+FROM (SELECT b, exp(b) * r1 / (r0 + exp(b) * r1) AS q FROM newton, ties WHERE k = 12) GROUP BY b)"""
+
+# what must hold for any scores
+_CHECKS = "true AS in_range, true AS flag_agrees, true AS above_chance"
+_HELD_OUT_CHECKS = f"WITH {_SPLIT} SELECT customerID, Churn, {_CHECKS} FROM members WHERE part = 'test'"
+
+
+def _time_folds(folds: int) -> str:
+    return f"""{_clean(0)},
+ordered AS (SELECT tenure, row_number() OVER (ORDER BY tenure) - 1 AS r, count(*) OVER () AS n FROM clean),
+starts AS (SELECT DISTINCT tenure AS start FROM ordered, range(1, {folds}) AS f(k) WHERE r = (k * n) // {folds}),
+placed AS (
+SELECT customerID, Churn, tenure, CAST((SELECT count(*) FROM starts WHERE start <= tenure) AS INTEGER) AS fold FROM clean)"""
+
+
 _LIFE = f"""{_clean(0)},
 months AS (
 SELECT Contract, tenure, sum(Churn) AS d, count(*) AS n FROM clean GROUP BY Contract, tenure
@@ -379,10 +427,11 @@ SELECT Contract, bin, count(*) AS accounts, bin / CAST(20 AS DOUBLE) AS bin_star
         "stratified_split_counts": f"WITH {_SPLIT} SELECT part, Churn, count(*) AS accounts FROM members GROUP BY part, Churn",
         "fold_members": f"WITH {_FOLDS} SELECT customerID, Churn, fold FROM members",
         "fold_counts": f"WITH {_FOLDS} SELECT fold, Churn, count(*) AS accounts FROM members GROUP BY fold, Churn",
-        "time_fold_counts": f"""WITH {_clean(0)},
-ordered AS (SELECT tenure, row_number() OVER (ORDER BY tenure) - 1 AS r, count(*) OVER () AS n FROM clean),
-starts AS (SELECT DISTINCT tenure AS start FROM ordered, range(1, 5) AS f(k) WHERE r = (k * n) // 5),
-placed AS (SELECT tenure, CAST((SELECT count(*) FROM starts WHERE start <= tenure) AS INTEGER) AS fold FROM clean)
+        "gbt_checks": _HELD_OUT_CHECKS,
+        "challenger_checks": _HELD_OUT_CHECKS,
+        "out_of_fold_checks": f"WITH {_FOLDS} SELECT customerID, Churn, fold, {_CHECKS} FROM members",
+        "forward_fold_checks": f"WITH {_time_folds(3)} SELECT customerID, Churn, fold, {_CHECKS} FROM placed WHERE fold > 0",
+        "time_fold_counts": f"""WITH {_time_folds(5)}
 SELECT fold, count(*) AS accounts, min(tenure) AS first_month, max(tenure) AS last_month FROM placed GROUP BY fold""",
         "kaplan_meier": f"""WITH {_LIFE},
 steps AS (
@@ -401,18 +450,23 @@ SELECT contract_type, timeline, at_risk, churned, round(hazard, 9) AS hazard,
   timeline IN (12, 24, 36) AS renewal_month,
   COALESCE(hazard > previous_hazard AND hazard > next_hazard, false) AS spike
 FROM beside""",
-        "concordance": f"""WITH {_clean(0)},
-g AS (
-SELECT churn_probability AS p, tenure AS d, CAST(sum(Churn) AS BIGINT) AS e, count(*) AS n
-FROM clean GROUP BY 1, 2),
-pairs AS (
-SELECT a.p AS pa, b.p AS pb, a.e * CASE WHEN b.d > a.d THEN b.n ELSE b.n - b.e END AS w
-FROM (SELECT * FROM g WHERE e > 0) a JOIN g b ON b.d >= a.d),
-sums AS (
-SELECT CAST(sum(w) AS BIGINT) AS c, CAST(sum(CASE WHEN pb < pa THEN w ELSE 0 END) AS BIGINT) AS lower_,
-  CAST(sum(CASE WHEN pb = pa THEN w ELSE 0 END) AS BIGINT) AS tied FROM pairs)
-SELECT c AS comparable_pairs, lower_ AS concordant_pairs, tied AS tied_pairs,
-  round((lower_ + tied / CAST(2 AS DOUBLE)) / c, 9) AS concordance_index FROM sums""",
+        "concordance": f"WITH {_clean(0)}, scored AS (SELECT *, churn_probability AS p FROM clean), {_PAIRS}",
+        "cox_flag_ratio": f"""WITH RECURSIVE {_COX_FLAG}
+SELECT 'SeniorCitizen' AS covariate, round(b, 6) AS coef, round(exp(b), 6) AS hazard_ratio, round(se, 6) AS se,
+  round(exp(b - CAST(1.959963984540054 AS DOUBLE) * se), 6) AS hazard_ratio_lower,
+  round(exp(b + CAST(1.959963984540054 AS DOUBLE) * se), 6) AS hazard_ratio_upper, round(b / se, 6) AS z
+FROM fitted""",
+        "cox_flag_horizon": f"""WITH RECURSIVE {_COX_FLAG},
+steps AS (SELECT t, (d0 + d1) / (n0 + exp(b) * n1) AS step FROM risk, fitted),
+tenures AS (SELECT DISTINCT tenure FROM clean),
+hazards AS (
+SELECT tenure, COALESCE((SELECT sum(step) FROM steps WHERE t <= 12), 0) AS first_year,
+  COALESCE((SELECT sum(step) FROM steps WHERE t > tenure AND t <= tenure + 12), 0) AS next_year FROM tenures)
+SELECT customerID, tenure, round(1 - exp(-first_year * exp(b * SeniorCitizen)), 6) AS from_start,
+  round(1 - exp(-next_year * exp(b * SeniorCitizen)), 6) AS from_tenure
+FROM clean JOIN hazards USING (tenure), fitted""",
+        "cox_flag_concordance": f"""WITH RECURSIVE {_COX_FLAG},
+scored AS (SELECT clean.*, b * SeniorCitizen AS p FROM clean, fitted), {_PAIRS}""",
     }
     # other plans for the same results
     for name in CELLED_QUERIES:

@@ -18,6 +18,20 @@ from holdfast.session import materialize
 from holdfast.sources.sinks import write_features, write_report
 
 
+def with_target(accounts: DataFrame) -> DataFrame:
+    """Raw accounts with their label as ``_target``, for splits ahead of cleaning."""
+    return accounts.withColumn("_target", F.coalesce(F.col(DEFAULTS.target) == "Yes", F.lit(False)))
+
+
+def prepare(
+    fit_rows: DataFrame, *parts: DataFrame, no_value: int = 0, percentile_mode: str = "batch"
+) -> list[DataFrame]:
+    """Cleaned feature tables of raw ``parts``, fitted on ``fit_rows`` alone, each written once."""
+    cleaner = AccountCleaner(noValue=no_value).fit(fit_rows)
+    features = ChurnFeatures(percentileMode=percentile_mode).fit(cleaner.transform(fit_rows))
+    return [materialize(features.transform(cleaner.transform(p)).drop("_target")) for p in parts]
+
+
 def run_pipeline(
     accounts: DataFrame,
     output: str | None = None,
@@ -41,20 +55,14 @@ def run_pipeline(
     the feature table, model, lists and curves are written below that folder.
     """
     target, key = DEFAULTS.target, DEFAULTS.key
-    labelled = accounts.withColumn("_target", F.coalesce(F.col(target) == "Yes", F.lit(False)))
-
-    def prepare(fit_rows: DataFrame, *parts: DataFrame) -> list[DataFrame]:
-        cleaner = AccountCleaner(noValue=no_value).fit(fit_rows)
-        features = ChurnFeatures(percentileMode=percentile_mode).fit(cleaner.transform(fit_rows))
-        return [features.transform(cleaner.transform(p)).drop("_target") for p in parts]
-
+    labelled = with_target(accounts)
+    modes = {"no_value": no_value, "percentile_mode": percentile_mode}
     if fit_on_all:
-        (table,) = prepare(labelled, labelled)
-        table = materialize(table)
+        (table,) = prepare(labelled, labelled, **modes)
         train, test = stratified_split(table, target, key, test_size, seed)
     else:
         raw_train, raw_test = stratified_split(labelled, "_target", key, test_size, seed)
-        train, test = map(materialize, prepare(raw_train, raw_train, raw_test))
+        train, test = prepare(raw_train, raw_train, raw_test, **modes)
         table = train.unionByName(test)
 
     lead = BoostedChurnModel(threshold, exclude, **(primary or {})).fit(train)

@@ -35,6 +35,7 @@ from holdfast.operators.learn import (
 )
 from holdfast.operators.lookups import attach_attributes, map_values
 from holdfast.operators.ranking import exact_median, stratified_folds, stratified_split, time_folds
+from holdfast.plans.pipeline import prepare, with_target
 from holdfast.schema import CATEGORICAL_COLUMNS, DEFAULTS
 from holdfast.session import materialize, shared_folder
 from holdfast.sources import read_accounts
@@ -82,6 +83,17 @@ def training_table(spark: SparkSession, sf: str) -> DataFrame:
     return materialize(ChurnFeatures().fit(clean).transform(clean))
 
 
+def raw_accounts(spark: SparkSession, sf: str) -> DataFrame:
+    """Accounts as read, without the given score, with the label for splits."""
+    return with_target(accounts_from_orders(spark, sf).drop("churn_probability"))
+
+
+def split_features(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """[train, test]: features fitted on training accounts alone."""
+    train, test = stratified_split(raw_accounts(spark, sf), "_target", KEY)
+    return prepare(train, train, test)
+
+
 # --- sources and cleaning -----------------------------------------------------------
 
 
@@ -547,7 +559,10 @@ def monthly_hazard(spark, sf):
 
 
 def _concordance(spark, sf, **cells):
-    out = S.concordance(flagged(spark, sf), "churn_probability", **cells)
+    return _concordance_row(S.concordance(flagged(spark, sf), "churn_probability", **cells))
+
+
+def _concordance_row(out):
     return out.select(
         *[F.col(c).cast("long").alias(c) for c in out.columns[:3]],
         F.round("concordance_index", 9).alias("concordance_index"),
@@ -593,6 +608,33 @@ def cox_concordance(spark, sf):
     return model.concordance_index(rows)
 
 
+def _cox_flag(spark, sf):
+    """Cox fit on one flag, whose steps SQL can follow."""
+    rows = flagged(spark, sf)
+    return rows, S.CoxSurvival(covariates=["SeniorCitizen"], categories=(), tol=1e-15).fit(rows)
+
+
+@query
+def cox_flag_ratio(spark, sf):
+    out = _cox_flag(spark, sf)[1].get_hazard_ratios(spark)
+    return out.select("covariate", *[F.round(c, 6).alias(c) for c in out.columns if c not in ("covariate", "p")])
+
+
+@query
+def cox_flag_horizon(spark, sf):
+    """Probability of churn within 12 months, from the start and from the present tenure on."""
+    rows, model = _cox_flag(spark, sf)
+    out = model.predict_churn_probability_at(rows, 12, output="from_start")
+    out = model.predict_churn_probability_at(out, 12, given_tenure=True, output="from_tenure")
+    return out.select(KEY, "tenure", *[F.round(c, 6).alias(c) for c in ("from_start", "from_tenure")])
+
+
+@query
+def cox_flag_concordance(spark, sf):
+    rows, model = _cox_flag(spark, sf)
+    return _concordance_row(model.concordance_index(rows))
+
+
 @query
 def aft_scores(spark, sf):
     rows = row_features(flagged(spark, sf))
@@ -608,24 +650,49 @@ def aft_scores(spark, sf):
 # --- learning -------------------------------------------------------------------------
 
 
+def _held_out(spark, sf, model):
+    train, test = split_features(spark, sf)
+    return model.fit(train).predict_proba(test)
+
+
+def _checks(scored, *keep):
+    """What must hold for any scores: which rows they are of, their range, flags, and a rank above chance."""
+    scored = materialize(scored.select(KEY, "Churn", *keep, "churn_probability", "predicted"))
+    p = F.col("churn_probability")
+    return scored.select(
+        KEY,
+        "Churn",
+        *keep,
+        F.coalesce(p.between(0, 1), F.lit(False)).alias("in_range"),
+        F.coalesce(F.col("predicted") == (p >= DEFAULTS.threshold).cast("int"), F.lit(False)).alias("flag_agrees"),
+        F.lit(M.roc_auc(scored).first()["auc_roc"] > 0.5).alias("above_chance"),
+    )
+
+
 @query
 def gbt_scores(spark, sf):
-    train, test = stratified_split(training_table(spark, sf), "Churn", KEY)
-    scored = BoostedChurnModel(**TREES).fit(train).predict_proba(test)
-    return predictions_table(scored, keep=("predicted", "Churn"))
+    return predictions_table(_held_out(spark, sf, BoostedChurnModel(**TREES)), keep=("predicted", "Churn"))
+
+
+@query
+def gbt_checks(spark, sf):
+    return _checks(_held_out(spark, sf, BoostedChurnModel(**TREES)))
 
 
 @query
 def challenger_scores(spark, sf):
-    train, test = stratified_split(training_table(spark, sf), "Churn", KEY)
-    scored = ChallengerChurnModel(**TREES).fit(train).predict_proba(test)
-    return predictions_table(scored, keep=("predicted", "Churn"))
+    return predictions_table(_held_out(spark, sf, ChallengerChurnModel(**TREES)), keep=("predicted", "Churn"))
+
+
+@query
+def challenger_checks(spark, sf):
+    return _checks(_held_out(spark, sf, ChallengerChurnModel(**TREES)))
 
 
 @query
 def model_comparison(spark, sf):
     """Both classifiers evaluated on the same held-out accounts."""
-    train, test = stratified_split(training_table(spark, sf), "Churn", KEY)
+    train, test = split_features(spark, sf)
     out = None
     for name, model in (("boosted", BoostedChurnModel(**TREES)), ("challenger", ChallengerChurnModel(**TREES))):
         scored = model.fit(train).predict_proba(test).select("Churn", "churn_probability")
@@ -641,25 +708,42 @@ def importance(spark, sf):
     return R.top_features(model.get_feature_importance(spark))
 
 
+def _out_of_fold(spark, sf):
+    table = stratified_folds(raw_accounts(spark, sf), "_target", KEY)
+    make = lambda: BoostedChurnModel(**{**TREES, "trees": 5}, exclude=("fold",))
+    return out_of_fold_scores(table, make, fold="fold", prepare=prepare)
+
+
 @query
 def out_of_fold(spark, sf):
-    table = training_table(spark, sf)
+    return _out_of_fold(spark, sf).select(KEY, "Churn", "fold", "churn_probability")
+
+
+@query
+def out_of_fold_checks(spark, sf):
+    return _checks(_out_of_fold(spark, sf), "fold")
+
+
+def _forward(spark, sf):
+    table = time_folds(raw_accounts(spark, sf), "tenure", 3)
     make = lambda: BoostedChurnModel(**{**TREES, "trees": 5}, exclude=("fold",))
-    return out_of_fold_scores(table, make).select(KEY, "Churn", "fold", "churn_probability")
+    return forward_scores(table, make, "fold", 3, prepare=prepare)
 
 
 @query
 def forward_fold_scores(spark, sf):
-    table = time_folds(training_table(spark, sf), "tenure", 3)
-    make = lambda: BoostedChurnModel(**{**TREES, "trees": 5}, exclude=("fold",))
-    out = forward_scores(table, make, "fold", 3)
-    return out.select(KEY, "Churn", "fold", "churn_probability")
+    return _forward(spark, sf).select(KEY, "Churn", "fold", "churn_probability")
+
+
+@query
+def forward_fold_checks(spark, sf):
+    return _checks(_forward(spark, sf), "fold")
 
 
 @query
 def ensemble_scores(spark, sf):
     """Both classifiers and the 12-month Cox probability, averaged."""
-    train, test = stratified_split(training_table(spark, sf), "Churn", KEY)
+    train, test = split_features(spark, sf)
     scored = BoostedChurnModel(**TREES).fit(train).predict_proba(test)
     scored = scored.withColumnRenamed("churn_probability", "boosted").drop("predicted")
     rival = ChallengerChurnModel(**TREES, exclude=("boosted",)).fit(train)
@@ -673,7 +757,7 @@ def ensemble_scores(spark, sf):
 
 @query
 def permutation_loss(spark, sf):
-    train, test = stratified_split(training_table(spark, sf), "Churn", KEY)
+    train, test = split_features(spark, sf)
     model = BoostedChurnModel(**TREES).fit(train)
     features = ["Contract", "tenure", "MonthlyCharges", ("MonthlyCharges", "Contract")]
     return permutation_importance(test, model, features)
@@ -683,5 +767,5 @@ def permutation_loss(spark, sf):
 def tuning(spark, sf):
     table = training_table(spark, sf)
     model = BoostedChurnModel(**{**TREES, "trees": 3})
-    found = search(table, model, {"maxDepth": [2, 4], "stepSize": [0.1, 0.3]}, folds=2, trials=2)
+    found = search(table, model, {"maxDepth": [2, 4], "stepSize": [0.1, 0.3]})
     return search_results(found, spark)

@@ -111,6 +111,7 @@ class Defaults:
     subsample: float = 0.8
     positive_weight: float = 3.0
     top_features: int = 15
+    fit_rows: int = 1_000_000
 
 
 DEFAULTS = Defaults()

@@ -109,3 +109,15 @@ def test_categories_of_many_levels(table):
     many = table.withColumn("PaymentMethod", F.concat(F.lit("p"), F.pmod(F.xxhash64("customerID"), F.lit(100))))
     scored = L.BoostedChurnModel(trees=1, depth=2).fit(many).predict_proba(many)
     assert scored.where("churn_probability BETWEEN 0 AND 1").count() == many.count()
+
+
+def test_fit_rows_bound_the_fit_and_not_the_scores(table):
+    n = table.count()
+    some = L.BoostedChurnModel(fit_rows=300)._labelled(table, "Churn")
+    keys = {r[0] for r in some.select("customerID").collect()}
+    assert 200 < len(keys) < 400
+    assert keys == {r[0] for r in L.BoostedChurnModel(fit_rows=300)._labelled(table.repartition(3), "Churn").select("customerID").collect()}
+    for whole in (None, n):
+        assert L.BoostedChurnModel(fit_rows=whole)._labelled(table, "Churn").count() == n
+    model = L.BoostedChurnModel(fit_rows=300, trees=2, depth=2).fit(table)
+    assert model.predict_proba(table).count() == n
