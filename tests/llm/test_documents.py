@@ -201,6 +201,23 @@ def test_passages_are_found_and_others_left(spark):
     assert all(cut[i] == texts[i] for i in (1, 4, 5))
 
 
+def test_passages_parted_by_different_words_are_all_found(spark):
+    texts, want = {}, {}
+    for n, (mine, theirs) in enumerate([(10, 10), (40, 40), (100, 100), (200, 200), (500, 500), (10, 200), (200, 10), (0, 300), (500, 0)]):
+        one, two = words(60, 1000 + n), words(60, 1100 + n)
+        texts[2 * n] = words(70, 1200 + n) + one + words(theirs, 1300 + n) + two + words(70, 1400 + n)
+        texts[2 * n + 1] = words(90, 1500 + n) + one + words(mine, 1600 + n) + two + words(90, 1700 + n)
+        want[2 * n + 1] = set(range(90, 150)) | set(range(150 + mine, 210 + mine))
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    got = defaultdict(set)
+    for r in passages.repeated_passages(df).collect():
+        assert r["source_doc_id"] == r["doc_id"] - 1 and r["end"] - r["start"] >= 50 and r["identity"] >= 0.8
+        got[r["doc_id"]] |= set(range(r["start"], r["end"]))
+    assert set(got) == set(want)
+    for i, places in want.items():
+        assert places <= got[i] and len(got[i] - places) <= 30  # a short gap may be bridged
+
+
 def test_chains_against_all_predecessors():
     draw = np.random.default_rng(3)
     for _ in range(30):
