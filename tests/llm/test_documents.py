@@ -218,6 +218,21 @@ def test_passages_parted_by_different_words_are_all_found(spark):
         assert places <= got[i] and len(got[i] - places) <= 30  # a short gap may be bridged
 
 
+def test_passages_with_many_changed_words_are_found(spark):
+    rows, edits = [], {}
+    for n, step in enumerate([5, 6, 8, 10, 15] * 8):
+        shared = words(100, 2000 + n)
+        other = [f"x{n}-{i}" if i % step == n % step else w for i, w in enumerate(shared)]
+        rows.append((2 * n, " ".join(words(80, 2100 + n) + shared + words(80, 2200 + n))))
+        rows.append((2 * n + 1, " ".join(words(70, 2300 + n) + other + words(70, 2400 + n))))
+        edits[2 * n + 1] = step
+    got = defaultdict(int)
+    for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        assert r["source_doc_id"] == r["doc_id"] - 1 and r["identity"] >= 0.8
+        got[r["doc_id"]] += r["end"] - r["start"]
+    assert set(got) == set(edits) and min(got.values()) >= 90
+
+
 def test_chains_against_all_predecessors():
     draw = np.random.default_rng(3)
     for _ in range(30):
