@@ -233,6 +233,22 @@ def test_passages_with_many_changed_words_are_found(spark):
     assert set(got) == set(edits) and min(got.values()) >= 90
 
 
+def test_passages_of_parts_with_other_owners(spark):
+    texts, want = {}, {}
+    for n in range(30):
+        size, number = ((30, 2), (12, 5), (40, 2), (24, 3), (49, 9))[n % 5]
+        parts = [words(size, 5000 + 10 * n + i) for i in range(number)]
+        whole = [w for part in parts for w in part]
+        for i, part in enumerate(parts):  # each part is first held by a document of its own
+            texts[20 * n + i] = words(60, 6000 + 20 * n + i) + part + words(60, 7000 + 20 * n + i)
+        texts[20 * n + 10] = words(70, 8000 + n) + whole + words(70, 8100 + n)
+        texts[20 * n + 11] = words(50, 8200 + n) + whole + words(90, 8300 + n)
+        want[20 * n + 11] = (50, 50 + len(whole), 20 * n + 10)
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    got = passages.repeated_passages(df).collect()
+    assert {r["doc_id"]: (r["start"], r["end"], r["source_doc_id"]) for r in got} == want
+
+
 def test_chains_against_all_predecessors():
     draw = np.random.default_rng(3)
     for _ in range(30):
