@@ -9,7 +9,9 @@ at a similarity of 0.8 share none with a probability of about one in ten million
 1. Equal shingle sets become one class, whatever their number; only classes go on.
 2. Each bucket links its members to one of them, a different one from bucket to bucket
    and chosen by hash. Links whose estimate is far below the threshold are dropped.
-   A family is a connected component of what is left: pairs are never listed.
+   Where that leaves members of a bucket apart, those that are not with its head are
+   estimated among themselves and against the others, in blocks of bounded size. A family
+   is a connected component of the links: pairs are never listed.
 3. Members of a family are compared in full. A large family is dealt into blocks of
    bounded size; every pair of blocks is one small task, which counts common shingles
    by matrix products and returns at most one confirmed link per member.
@@ -101,16 +103,11 @@ def _families(classes: DataFrame) -> DataFrame:
         placed.groupBy("band", "bucket")
         .agg(F.min_by("node", order).alias("head"), F.count("*").alias("n"))
         .where("n > 1")
-        .drop("n")
     )
-    links = (
-        placed.select("node", "band", "bucket")
-        .join(heads, ["band", "bucket"])
-        .where("node <> head")
-        .select(F.greatest("node", "head").alias("u"), F.least("node", "head").alias("v"))
-        .distinct()
+    members = materialize(
+        placed.select("node", "band", "bucket").join(heads, ["band", "bucket"]).where("node <> head")
     )
-    links = materialize(links)
+    links = materialize(members.select(F.greatest("node", "head").alias("u"), F.least("node", "head").alias("v")).distinct())
     a = classes.select(F.col("node").alias("u"), F.col("brief").alias("bu"))
     b = classes.select(F.col("node").alias("v"), F.col("brief").alias("bv"))
 
@@ -120,11 +117,81 @@ def _families(classes: DataFrame) -> DataFrame:
             if same >= LOOSE * len(bu):
                 yield u, v
 
-    kept = map_rows(links.join(a, "u").join(b, "v").select("u", "v", "bu", "bv"), near, "u long, v long")
+    kept = materialize(map_rows(links.join(a, "u").join(b, "v").select("u", "v", "bu", "bv"), near, "u long, v long"))
     found = materialize(components(kept))
+    more = materialize(_crowded(classes, members.where("n > 2"), found))
+    if not more.isEmpty():
+        found = materialize(components(kept.unionByName(more)))
     return found.unionByName(found.select(F.col("root").alias("node"), "root").distinct())
 
 
+def near_pairs(low: list[tuple[int, bytes]], high: list[tuple[int, bytes]] | None) -> list[tuple[int, int]]:
+    """Links at LOOSE or more between two lists of (node, brief), or inside one: a spanning forest of them."""
+    nodes = [x for x, _ in low] + [x for x, _ in high or ()]
+    briefs = np.array([np.frombuffer(x, np.uint8) for _, x in [*low, *(high or ())]])
+    forest, out = _Forest(len(nodes)), []
+    for i in range(len(low)):
+        start = i + 1 if high is None else len(low)
+        same = np.count_nonzero(briefs[start:] == briefs[i], axis=1)
+        for j in (np.flatnonzero(same >= LOOSE * briefs.shape[1]) + start).tolist():
+            if forest.join(i, j):
+                out.append((max(nodes[i], nodes[j]), min(nodes[i], nodes[j])))
+    return out
+
+
+def _crowded(classes: DataFrame, members: DataFrame, found: DataFrame) -> DataFrame:
+    """Links (u, v) inside buckets whose members are not all with the head.
+
+    Members apart from the head fill blocks 0 to ``apart`` - 1 of a bucket, the head and those
+    with it the blocks after. Two blocks meet unless both are of the second kind.
+    """
+    of = found.select(F.col("node").alias("_n"), "root")
+    placed = members.join(of, members["node"] == of["_n"], "left").select(
+        "band", "bucket", "head", "node", F.coalesce("root", "node").alias("mine")
+    )
+    heads = found.select(F.col("node").alias("head"), F.col("root").alias("theirs"))
+    placed = materialize(
+        placed.join(heads, "head", "left").select(
+            "band", "bucket", "head", "node", (F.col("mine") != F.coalesce("theirs", "head")).alias("far")
+        )
+    )
+    sizes = (
+        placed.groupBy("band", "bucket", "head")
+        .agg(F.count_if("far").alias("apart"), F.count_if(~F.col("far")).alias("near"))
+        .where("apart > 0")
+        .select(
+            "band", "bucket", "head",
+            F.ceil(F.col("apart") / BLOCK_SETS).cast("int").alias("apart"),
+            F.ceil((F.col("near") + 1) / BLOCK_SETS).cast("int").alias("near"),
+        )
+    )
+    sizes = materialize(sizes)
+    every = placed.select("band", "bucket", "node", "far").join(sizes.drop("head"), ["band", "bucket"]).unionByName(
+        sizes.select("band", "bucket", F.col("head").alias("node"), F.lit(False).alias("far"), "apart", "near")
+    )
+    hashed = F.xxhash64("node", "bucket")
+    block = F.when(F.col("far"), F.pmod(hashed, F.col("apart"))).otherwise(F.col("apart") + F.pmod(hashed, F.col("near")))
+    others = F.when(F.col("far"), F.col("apart") + F.col("near") - 1).otherwise(F.col("apart") - 1)
+    rows = (
+        every.select("band", "bucket", "node", block.cast("int").alias("block"), others.alias("last"))
+        .join(classes.select("node", "brief"), "node")
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
+        .select("band", "bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "brief")
+    )
+
+    def compare(rows):
+        for (_, _, low, high), held in runs(rows, 4):
+            first = [x[1:] for x in held if x[0] == low]
+            if low == high:
+                yield from near_pairs(first, None)
+            elif len(first) < len(held):
+                yield from near_pairs(first, [x[1:] for x in held if x[0] == high])
+
+    parts = max(int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    met = rows.repartition(parts, "band", "bucket", "low", "high").sortWithinPartitions("band", "bucket", "low", "high", "node")
+    return map_rows(met, compare, "u long, v long").distinct()
+
+
 class _Forest:
     def __init__(self, n: int):
         self.parent = list(range(n))

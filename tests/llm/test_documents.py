@@ -162,6 +162,18 @@ def test_near_duplicates_against_all_pairs(spark, monkeypatch):
         assert all(g["kept"] == (g["doc_id"] == g["component_id"]) for g in got)
 
 
+def test_near_duplicates_in_crowded_buckets(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK_SETS", 64)  # buckets over several blocks
+    draw = np.random.default_rng(6)
+    briefs = draw.integers(0, 256, (400, 200), dtype=np.uint8)
+    briefs[:, :84] = briefs[0, :84]  # 0.42 alike, by two
+    for i in range(0, 40, 2):  # and 0.8
+        briefs[i + 1, :160] = briefs[i, :160]
+    rows = [(i, list(range(40)), bytearray(b.tobytes())) for i, b in enumerate(briefs)]  # all in the same buckets
+    found = minhash._families(spark.createDataFrame(rows, "node long, bands array<long>, brief binary")).collect()
+    assert {r["node"]: r["root"] for r in found} == {i: i // 2 * 2 for i in range(40)}
+
+
 def test_near_duplicates_odd_rows(odd, empty):
     rows = [(r[0], r[1]) for r in odd_rows()]
     got = minhash.near_duplicates(odd).collect()
