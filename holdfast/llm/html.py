@@ -5,7 +5,8 @@ footers, sidebars, adverts, forms, scripts and the like becomes no line; what li
 around the stripped places, and around the page's article if it marks one, becomes
 empty lines. The text lengths of every few neighbouring lines are summed. Text begins
 where these sums surge from nothing and ends where they dive to nothing; of the spans
-found so, the one that carries most text is the main text, with all its lines.
+found so, the one that carries most text is the main text, with all its lines, together
+with the spans of the same parent element, from which only stripped elements part it.
 """
 
 from __future__ import annotations
@@ -39,6 +40,7 @@ CHROME_NAMES = re.compile(
     re.I,
 )
 CONTAINERS = frozenset(("article", "main"))
+HOLDERS = frozenset("article body center details div html main section table".split())  # elements that hold blocks
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
@@ -70,10 +72,19 @@ def _is_chrome(name: str, attributes: str, inside: bool) -> bool:
 
 def lines_of(page: str) -> list[str]:
     """Lines of a page in order, with empty ones where text was stripped or an article ends."""
+    return placed_lines(page)[0]
+
+
+def placed_lines(page: str) -> tuple[list[str], list[int]]:
+    """Lines of a page, and for each the element that holds its block (-1 for empty lines, 0 for the page)."""
     gap = [""] * BLOCK_LINES
     outside: list[str] = []
     articles: list[str] = []
+    outside_in: list[int] = []
+    articles_in: list[int] = []
     stack: list[tuple[str, bool, bool]] = []  # name, chrome, container
+    numbers: list[int] = []  # of the elements in the stack
+    count = 0
     chrome = container = 0
     now: list[str] = []
 
@@ -83,20 +94,26 @@ def lines_of(page: str) -> list[str]:
             now.clear()
             if text:
                 (articles if container else outside).append(text)
+                # a paragraph, heading or list item is a block of the element around it
+                at = next((x for (n, _, _), x in zip(reversed(stack), reversed(numbers)) if n in HOLDERS), 0)
+                (articles_in if container else outside_in).append(at)
 
     def leave(n: int):
         nonlocal chrome, container
         while len(stack) > n:
             _, was_chrome, was_container = stack.pop()
+            numbers.pop()
             chrome -= was_chrome
             if was_container:
                 flush()
                 container -= 1
                 if not container:
                     articles.extend(gap)
+                    articles_in.extend([-1] * BLOCK_LINES)
             if was_chrome and not chrome and not container:
                 flush()
                 outside.extend(gap)
+                outside_in.extend([-1] * BLOCK_LINES)
 
     for m in _TOKEN.finditer(page):
         token = m[0]
@@ -130,16 +147,19 @@ def lines_of(page: str) -> list[str]:
             flush()
             if not container:
                 outside.extend(gap)
+                outside_in.extend([-1] * BLOCK_LINES)
         if is_container:
             flush()
             if chrome and name == "main":  # a menu or notice that was never closed
                 stack[:] = [(x, False, c) for x, _, c in stack]
                 chrome = 0
         stack.append((name, is_chrome, is_container))
+        count += 1
+        numbers.append(count)
         chrome += is_chrome
         container += is_container
     flush()
-    return articles if any(articles) else outside
+    return (articles, articles_in) if any(articles) else (outside, outside_in)
 
 
 def spans_of(lengths: list[int], width: int = BLOCK_LINES) -> list[tuple[int, int]]:
@@ -160,13 +180,19 @@ def spans_of(lengths: list[int], width: int = BLOCK_LINES) -> list[tuple[int, in
 
 def main_text(page: str | None) -> str:
     """Main text of a page: its lines in order, joined by line ends; empty if there is none."""
-    lines = lines_of(page or "")
+    lines, places = placed_lines(page or "")
     lengths = [len(x) for x in lines]
     found = spans_of(lengths)
     if not found:
         return ""
     low, high = max(found, key=lambda s: (sum(lengths[s[0] : s[1]]), -s[0]))
-    return "\n".join(x for x in lines[low:high] if x)
+    weight: dict[int, int] = {}
+    for i in range(low, high):
+        if lengths[i]:
+            weight[places[i]] = weight.get(places[i], 0) + lengths[i]
+    parent = max(weight, key=weight.get)  # the element that holds most of the best span
+    kept = [s for s in found if s == (low, high) or any(places[i] == parent for i in range(*s))]
+    return "\n".join(x for s in kept for x in lines[s[0] : s[1]] if x)
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -136,6 +136,20 @@ def test_main_text(page):
     assert html.main_text(page).split("\n") == ["T & x", *LINES]
 
 
+@pytest.mark.parametrize(
+    "between",
+    ["<div class=ad><p>Buy now</p></div>", "<button>Share</button>", "<form><p>Your name</p><input></form>",
+     "<p>Paragraph 9 <span class=social>tweet</span></p>", "<div class='newsletter'><p>Sign up</p></div><aside>See also</aside>"],
+)
+def test_text_goes_on_behind_stripped_elements(between):
+    more = "".join(f"<p>More {i} of the same story, it goes on.</p>" for i in range(4))
+    page = f"<body><div class=menu>Home</div><div class=content>{BODY}{between}{more}{between}<p>The end.</p></div><div><p>Elsewhere</p></div>"
+    got = html.main_text(f"<html>{page}</html>").split("\n")
+    extra = ["Paragraph 9"] if "Paragraph" in between else []
+    assert got[: len(LINES)] == LINES and [x for x in got if x.startswith("More")] == [f"More {i} of the same story, it goes on." for i in range(4)]
+    assert "The end." in got and got.count("Paragraph 9") == 2 * len(extra) and not {"Buy now", "Share", "Your name", "tweet", "Sign up"} & set(got)
+
+
 def test_pages_of_the_given_tables(spark, sf):
     import re
     from html import unescape
