@@ -28,7 +28,7 @@ BLOCKS = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main nav ol p pre section summary table tbody td tfoot "
     "th thead tr ul".split()
 )
-RAW = "script|style|noscript|template|textarea|title|svg|math|iframe|object|canvas|select|head"
+RAW = "script|style|noscript|template|textarea|title|svg|math|iframe|object|canvas|select"
 CHROME = frozenset("nav footer aside form button dialog menu label input fieldset".split())
 CHROME_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
 CHROME_NAMES = re.compile(
@@ -39,10 +39,12 @@ CHROME_NAMES = re.compile(
     r"pagination|pager|search|form|skip|copyright|tags?)(?=$|[\s_\d-])",
     re.I,
 )
+LAYOUT_NAMES = re.compile(r"(?:^|(?<=\s))(?:with|without|no|has|not|hide|show)[_-]\S*", re.I)  # of a page, not of its part
+COMMENT_NAMES = re.compile(r"(?:^|\s)(?:comment(?:[_-]\S*)?|comments|commentlist|disqus\S*|reply|replies|respond|discussion)(?=$|\s)", re.I)
 CONTAINERS = frozenset(("article", "main"))
 HOLDERS = frozenset("article body center details div html main section table".split())  # elements that hold blocks
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<(?:svg|math)\b(?:[^<>\"']|\"[^\"]*\"|'[^']*')*/>|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)|[^<]+|<",
     re.S | re.I,
@@ -60,14 +62,29 @@ def _is_chrome(name: str, attributes: str, inside: bool) -> bool:
     """Whether an element is no part of the text; ``inside`` an article a header is its own."""
     if name in CHROME or (name == "header" and not inside):
         return True
-    if not attributes or name in ("html", "body") or name in CONTAINERS:
+    if not attributes or name in ("html", "body", "main"):
         return False
     a = _attributes(attributes)
-    if a.get("role", "").lower() in CHROME_ROLES or "hidden" in a or a.get("aria-hidden", "").lower() == "true":
+    if name in CONTAINERS:
+        return _is_comment(a)
+    if _is_hidden(a) or a.get("itemprop", "").lower() == "comment":
         return True
-    if re.search(r"display\s*:\s*none", a.get("style", ""), re.I) or a.get("itemprop", "").lower() == "comment":
+    return _is_named_chrome(a)
+
+
+def _is_hidden(a: dict[str, str]) -> bool:
+    """By role, attribute or style, which say it for certain."""
+    if a.get("role", "").lower() in CHROME_ROLES or "hidden" in a or a.get("aria-hidden", "").lower() == "true":
         return True
-    return any(CHROME_NAMES.search(a[x]) for x in ("class", "id") if x in a)
+    return re.search(r"display\s*:\s*none", a.get("style", ""), re.I) is not None
+
+
+def _is_named_chrome(a: dict[str, str]) -> bool:
+    return any(CHROME_NAMES.search(LAYOUT_NAMES.sub("", a[x])) for x in ("class", "id") if x in a)
+
+
+def _is_comment(a: dict[str, str]) -> bool:
+    return a.get("itemprop", "").lower() == "comment" or any(COMMENT_NAMES.search(a[x]) for x in ("class", "id") if x in a)
 
 
 def lines_of(page: str) -> list[str]:
@@ -76,7 +93,27 @@ def lines_of(page: str) -> list[str]:
 
 
 def placed_lines(page: str) -> tuple[list[str], list[int]]:
-    """Lines of a page, and for each the element that holds its block (-1 for empty lines, 0 for the page)."""
+    """Lines of a page, and for each the element that holds its block (-1 for empty lines, 0 for the page).
+
+    An element is not stripped for its class or id if it holds most of the page's text, or
+    the only article. Text outside of articles counts if its main text is longer than theirs.
+    """
+    spared: set[int] = set()
+    while True:
+        articles, outside, has_main, stripped, total = _pass(page, spared)
+        more = {n for n, (size, article) in stripped.items() if 2 * size > total or (article and not any(articles[0]))}
+        if not more:
+            break
+        spared |= more
+    if not any(articles[0]):
+        return outside
+    if not has_main and sum(map(len, _main_lines(*outside))) > sum(map(len, articles[0])):
+        return outside
+    return articles
+
+
+def _pass(page: str, spared: set[int]):
+    """(articles, outside, whether a main has text, size and article of elements stripped by name, size of all text)."""
     gap = [""] * BLOCK_LINES
     outside: list[str] = []
     articles: list[str] = []
@@ -85,7 +122,10 @@ def placed_lines(page: str) -> tuple[list[str], list[int]]:
     stack: list[tuple[str, bool, bool]] = []  # name, chrome, container
     numbers: list[int] = []  # of the elements in the stack
     count = 0
-    chrome = container = 0
+    chrome = container = mains = total = 0
+    named = 0  # the outermost stripped element, if its class or id is the reason
+    has_main = False
+    stripped: dict[int, list] = {}
     now: list[str] = []
 
     def flush():
@@ -99,11 +139,13 @@ def placed_lines(page: str) -> tuple[list[str], list[int]]:
                 (articles_in if container else outside_in).append(at)
 
     def leave(n: int):
-        nonlocal chrome, container
+        nonlocal chrome, container, mains, named
         while len(stack) > n:
-            _, was_chrome, was_container = stack.pop()
+            name, was_chrome, was_container = stack.pop()
+            mains -= name == "main"
             numbers.pop()
             chrome -= was_chrome
+            named = named if chrome else 0
             if was_container:
                 flush()
                 container -= 1
@@ -118,6 +160,11 @@ def placed_lines(page: str) -> tuple[list[str], list[int]]:
     for m in _TOKEN.finditer(page):
         token = m[0]
         if token[0] != "<" or token == "<":
+            size = len(token.strip())
+            total += size
+            has_main = has_main or (size > 0 and not chrome and mains > 0)
+            if named:
+                stripped[named][0] += size
             if not chrome:
                 now.append(unescape(token) if "&" in token else token)
             continue
@@ -142,7 +189,14 @@ def placed_lines(page: str) -> tuple[list[str], list[int]]:
         if stack and stack[-1][0] in _IMPLIED and name in _IMPLIED[stack[-1][0]]:
             leave(len(stack) - 1)
         is_container = name in CONTAINERS or (not chrome and "role" in m[4] and _attributes(m[4]).get("role", "").lower() in CONTAINERS)
-        is_chrome = _is_chrome(name, m[4], container > 0)
+        is_chrome = _is_chrome(name, m[4], container > 0) and count + 1 not in spared
+        if is_chrome and not chrome and name not in CHROME and name != "header" and name not in CONTAINERS:
+            a = _attributes(m[4])
+            if _is_named_chrome(a) and not _is_comment(a) and not _is_hidden(a):
+                named = count + 1
+                stripped[named] = [0, False]
+        if is_container and named and not is_chrome:
+            stripped[named][1] = True
         if is_chrome and not chrome:
             flush()
             if not container:
@@ -152,14 +206,15 @@ def placed_lines(page: str) -> tuple[list[str], list[int]]:
             flush()
             if chrome and name == "main":  # a menu or notice that was never closed
                 stack[:] = [(x, False, c) for x, _, c in stack]
-                chrome = 0
+                chrome = named = 0
         stack.append((name, is_chrome, is_container))
+        mains += name == "main"
         count += 1
         numbers.append(count)
         chrome += is_chrome
         container += is_container
     flush()
-    return (articles, articles_in) if any(articles) else (outside, outside_in)
+    return (articles, articles_in), (outside, outside_in), has_main, stripped, total
 
 
 def spans_of(lengths: list[int], width: int = BLOCK_LINES) -> list[tuple[int, int]]:
@@ -180,11 +235,14 @@ def spans_of(lengths: list[int], width: int = BLOCK_LINES) -> list[tuple[int, in
 
 def main_text(page: str | None) -> str:
     """Main text of a page: its lines in order, joined by line ends; empty if there is none."""
-    lines, places = placed_lines(page or "")
+    return "\n".join(_main_lines(*placed_lines(page or "")))
+
+
+def _main_lines(lines: list[str], places: list[int]) -> list[str]:
     lengths = [len(x) for x in lines]
     found = spans_of(lengths)
     if not found:
-        return ""
+        return []
     low, high = max(found, key=lambda s: (sum(lengths[s[0] : s[1]]), -s[0]))
     weight: dict[int, int] = {}
     for i in range(low, high):
@@ -192,7 +250,7 @@ def main_text(page: str | None) -> str:
             weight[places[i]] = weight.get(places[i], 0) + lengths[i]
     parent = max(weight, key=weight.get)  # the element that holds most of the best span
     kept = [s for s in found if s == (low, high) or any(places[i] == parent for i in range(*s))]
-    return "\n".join(x for s in kept for x in lines[s[0] : s[1]] if x)
+    return [x for s in kept for x in lines[s[0] : s[1]] if x]
 
 
 def extract(pages: DataFrame) -> DataFrame:

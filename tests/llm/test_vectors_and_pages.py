@@ -150,6 +150,23 @@ def test_text_goes_on_behind_stripped_elements(between):
     assert "The end." in got and got.count("Paragraph 9") == 2 * len(extra) and not {"Buy now", "Share", "Your name", "tweet", "Sign up"} & set(got)
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<html><head><title>T</title><meta charset=utf-8><body><article>{BODY}</article>",
+        f"<head><title>T</title><style>p {{}}</style></head><body><svg viewBox='0 0 1 1'/><article>{BODY}</article>",
+        f"<div class='content with-sidebar'>{BODY}</div><div class=sidebar><p>Other</p></div>",
+        f"<div class='no-sidebar'><article>{BODY}</article></div>",
+        f"<div id=page-header-wrap><p>Site</p><article>{BODY}</article></div>",
+        f"<div class='story side'>{BODY}</div><div class=menu>Home</div>",
+        f"<div class=content>{BODY}</div><article class=teaser><p>Read on</p></article>",
+        f"<div class=content>{BODY}</div><article class=comment>{'<p>I think so too, and at great length.</p>' * 30}</article>",
+    ],
+)
+def test_whole_articles_of_valid_pages(page):
+    assert html.main_text(page).split("\n")[-6:] == LINES
+
+
 def test_pages_of_the_given_tables(spark, sf):
     import re
     from html import unescape
