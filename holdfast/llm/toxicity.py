@@ -35,13 +35,18 @@ LOOKS = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t",
          "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l"}
 _SIGNS = re.escape("".join(x for x in LOOKS if not x.isdigit()))
 _LETTER = r"[^\W\d_]"
-# a letter next to a sign or digit inside a token, single letters set apart, a letter three times
+# punctuation that is no look-alike may stand around a place
+_PUNCT = re.escape("\"'[]{}<>),.;:?\u2026\u201c\u201d\u2018\u2019\u00ab\u00bb\u201e\u00bf\u00a1")
+_START, _END = rf"(?<![^\s{_PUNCT}])", rf"(?![^\s{_PUNCT}])"
+_UNIT = rf"(?:{_LETTER}|[\d{_SIGNS}])"
+_SPACED = rf"(?={_UNIT}(?:[ .\-_*]{_UNIT})*?[ .\-_*]{_LETTER}|{_LETTER}){_UNIT}(?:[ .\-_*]{_UNIT}){{2,}}"
+# single letters set apart, a letter next to a sign or digit inside a token, a letter three times
 _ODD = re.compile(
-    rf"(?<!\S){_LETTER}(?:[ .\-_*]{_LETTER}){{3,}}(?!\S)"
-    rf"|(?<!\S)(?=\S*{_LETTER}[\d{_SIGNS}]+{_LETTER}|[\d{_SIGNS}]+{_LETTER}|\S*{_LETTER}[\d@$]+(?!\S))[\w{_SIGNS}]{{3,40}}(?!\S)"
+    rf"{_START}{_SPACED}{_END}"
+    rf"|{_START}(?=[\w{_SIGNS}]*{_LETTER}[\d{_SIGNS}]+{_LETTER}|[\d{_SIGNS}]+{_LETTER}|[\w{_SIGNS}]*{_LETTER}[\d@$]+{_END})[\w{_SIGNS}]{{3,}}{_END}"
     rf"|(?<!\S)\S*({_LETTER})\1\1\S*"
 )
-_MAYBE = re.compile(rf"[\d{_SIGNS}]|(?<!\S)\w[ .\-_*]\w[ .\-_*]|(\w)\1\1")
+_MAYBE = re.compile(rf"[\d{_SIGNS}]|(?<!\w)\w[ .\-_*]\w[ .\-_*]|(\w)\1\1")
 SIZE = 28  # 0: anything but a letter, 1..26: a..z, 27: another letter
 
 
@@ -120,15 +125,16 @@ class Channel:
 
     def lattice(self, place: str) -> list[list[tuple[str, float]]]:
         """For each step the strings it may be read as, with their price."""
-        spaced = re.fullmatch(rf"{_LETTER}(?:[ .\-_*]{_LETTER})+", place) is not None
+        spaced = re.fullmatch(rf"{_UNIT}(?:[ .\-_*]{_UNIT})+", place) is not None
         out, i = [], 0
         while i < len(place):
             c = place[i]
             n = 1
             while i + n < len(place) and place[i + n] == c:
                 n += 1
-            if spaced and not c.isalpha():
+            if spaced and i % 2:  # a separator
                 out.append([("", 0.0)])
+                n = 1
             elif c.isalpha():
                 if n >= 3:
                     out.append([(c, CHANGE), (c + c, CHANGE), (c * n, CHANGE * n)])
@@ -143,22 +149,26 @@ class Channel:
         return out
 
     def decode(self, place: str) -> str:
-        """Viterbi path: the most probable reading between blanks."""
-        states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+        """Viterbi path: the most probable reading between blanks. Readings are chains of parts, so steps cost the same anywhere."""
+        states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
         for step in self.lattice(place):
-            new: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (cost, text) in states.items():
+            new: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+            for (a, b), (cost, before) in states.items():
                 for reading, price in step:
                     x, y, total = a, b, cost + price
                     for k in classes_of(reading).tolist() if reading else ():
                         total -= self.log[x, y, k]
                         x, y = y, k
                     old = new.get((x, y))
-                    if old is None or (total, text + reading) < old:
-                        new[(x, y)] = (total, text + reading)
+                    if old is None or total < old[0]:
+                        new[(x, y)] = (total, (before, reading))
             states = new
-        ends = [(cost - self.log[a, b, 0], text) for (a, b), (cost, text) in states.items()]
-        return min(ends)[1]
+        _, chain = min(((cost - self.log[a, b, 0], chain) for (a, b), (cost, chain) in states.items()), key=lambda x: x[0])
+        out = []
+        while chain is not None:
+            chain, reading = chain
+            out.append(reading)
+        return "".join(reversed(out))
 
 
 def features(text: str) -> np.ndarray:

@@ -306,6 +306,18 @@ def test_restores_hidden_words():
         assert c.restore(clean) == clean
 
 
+def test_restores_hidden_words_beside_punctuation():
+    c = channel()
+    for hidden in ("1d10t", "i d i o t", "i.d.i.o.t", "i d 1 0 t", "1.d.i.0.t", "IDI0T"):
+        for before, after in (("", ","), ("", "."), ('"', '"'), ("'", "',"), ("", "?"), ("\u201c", "\u201d."), ("[", "];")):
+            assert c.restore(f"you are {before}{hidden}{after} hello") == f"you are {before}idiot{after} hello"
+    assert c.restore("y o u are 5tup1d, 1d10t.") == "you are stupid, idiot."
+    assert "0" not in c.restore("1d10t" * 20)
+    assert len(c.restore("a" + "12" * 20_000 + "b")) > 0
+    for clean in ("the (good) book, page 12, 300.", "3.14 is 2 3 4"):
+        assert c.restore(clean) == clean
+
+
 def test_toxicity_of_held_out_rows(spark, tmp_path):
     bad, rows, labels = ["idiot", "scum", "moron"], [], []
     r = random.Random(2)
