@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
 
 import numpy as np
@@ -12,16 +13,16 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import AFTSurvivalRegression, AFTSurvivalRegressionModel
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from holdfast.functions import columns as C
-from holdfast.operators.ranking import double_array, running_totals
+from holdfast.operators.ranking import ROWS_PER_CELL, double_array, running_totals
+from holdfast.operators.risk_sets import MAX_CELLS, RiskSets
 from holdfast.schema import DEFAULTS
-from holdfast.session import materialize
+from holdfast.session import materialize, shared_folder
 
-_MAX_DURATIONS = 20_000
 _MAX_LEVELS = 1000
 _WARM_ROWS = 1_000_000
 _BROADCAST_DURATIONS = 1_000_000  # 16 bytes each
@@ -224,46 +225,6 @@ def _numbered(known: DataFrame, **cells: int) -> tuple[DataFrame, int]:
 
 # --- Cox proportional hazards -------------------------------------------------------
 
-_EXACT_TIES = 20_000
-_TAIL = 10_000
-
-
-def _efron_sums(total: float, dying: float, d: int) -> tuple[float, float, float]:
-    """Sums over l < d of 1/f, 1/f^2 and log f, with f = total - l/d x dying.
-
-    Exact for up to ``_EXACT_TIES`` tied events. Beyond, the last ``_TAIL`` terms
-    (where f may approach zero) stay exact and the rest follow from the
-    Euler-Maclaurin formula, whose error there is below double precision.
-    """
-    if d <= _EXACT_TIES:
-        f = total - np.arange(d) / d * dying
-        return float(np.sum(1 / f)), float(np.sum(1 / f**2)), float(np.sum(np.log(f)))
-    head = d - _TAIL
-    f = total - np.arange(head, d) / d * dying
-    out = [float(np.sum(1 / f)), float(np.sum(1 / f**2)), float(np.sum(np.log(f)))]
-    nodes, weights = np.polynomial.legendre.leggauss(20)
-    # pieces shrink towards the end, where f changes fastest
-    edges, width = [0.0], float(d)
-    while edges[-1] < head:
-        width /= 2
-        edges.append(min(head, edges[-1] + max(width, _TAIL / 4)))
-    step = dying / d
-    for a, b in zip(edges[:-1], edges[1:]):
-        x = (a + b) / 2 + (b - a) / 2 * nodes
-        w = (b - a) / 2 * weights
-        f = total - x * step
-        for i, g in enumerate((1 / f, 1 / f**2, np.log(f))):
-            out[i] += float(np.sum(w * g))
-    first, last = total, total - head * step
-    ends = (
-        (1 / first, 1 / last, step / first**2, step / last**2),
-        (1 / first**2, 1 / last**2, 2 * step / first**3, 2 * step / last**3),
-        (math.log(first), math.log(last), -step / first, -step / last),
-    )
-    for i, (g0, g1, s0, s1) in enumerate(ends):
-        out[i] += (g0 - g1) / 2 + (s1 - s0) / 12
-    return out[0], out[1], out[2]
-
 
 class NotConverged(RuntimeError):
     """A fit that used up its passes."""
@@ -286,7 +247,9 @@ class _CoxParams(Params):
     )
     ridge = Param(Params._dummy(), "ridge", "penalty on standardized coefficients", TypeConverters.toFloat)
     maxIter = Param(Params._dummy(), "maxIter", "limit of passes over the data", TypeConverters.toInt)
-    tol = Param(Params._dummy(), "tol", "relative log-likelihood gain that ends the fit", TypeConverters.toFloat)
+    tol = Param(Params._dummy(), "tol", "longest step, in standard errors, that ends the fit", TypeConverters.toFloat)
+    rowsPerCell = Param(Params._dummy(), "rowsPerCell", "rows of a cell of durations, about", TypeConverters.toInt)
+    maxCells = Param(Params._dummy(), "maxCells", "cells of durations, at most", TypeConverters.toInt)
 
     def __init__(self) -> None:
         super().__init__()
@@ -297,18 +260,20 @@ class _CoxParams(Params):
             categories=["Contract"],
             ridge=0.0,
             maxIter=50,
-            tol=1e-11,
+            tol=1e-9,
+            rowsPerCell=ROWS_PER_CELL,
+            maxCells=MAX_CELLS,
         )
 
 
 class CoxSurvival(Estimator, _CoxParams, DefaultParamsReadable, DefaultParamsWritable):
-    """Cox model by Newton steps, ties after Efron.
+    """Cox model by Newton steps, ties after Efron, over any number of durations.
 
-    Risk sets are suffix sums over months, so each step is one aggregate by
-    (month, event) over a cached table of the covariates; one row per month and
-    event flag returns to the driver, where a p x p system is solved. On large
-    tables the start comes from a fit on a sample, which saves passes and leaves
-    the maximum as it is. Accounts with tenure 0 or a missing value are left out.
+    Each step is one pass of risk-set sums (``risk_sets``); the driver sees one row per
+    cell of durations and solves a p x p system. Steps go on until the last one is a
+    billionth of a standard error (``tol``). On large tables the start comes from a fit on
+    a sample, which saves passes and leaves the maximum as it is. Accounts with tenure 0
+    or a missing value are left out.
     """
 
     @keyword_only
@@ -321,7 +286,9 @@ class CoxSurvival(Estimator, _CoxParams, DefaultParamsReadable, DefaultParamsWri
         categories: Sequence[str] = ("Contract",),
         ridge: float = 0.0,
         maxIter: int = 50,
-        tol: float = 1e-11,
+        tol: float = 1e-9,
+        rowsPerCell: int = ROWS_PER_CELL,
+        maxCells: int = MAX_CELLS,
     ):
         super().__init__()
         self._set(**{k: list(v) if isinstance(v, tuple) else v for k, v in self._input_kwargs.items()})
@@ -379,50 +346,57 @@ class CoxSurvival(Estimator, _CoxParams, DefaultParamsReadable, DefaultParamsWri
                 ((F.col(f"x{i}") - float(means[i])) / float(stds[i])).alias(f"z{j}")
                 for j, i in enumerate(varying)
             ],
-        ).persist()
-        part = None
+        )
+        start = np.zeros(len(varying))
+        if summary["n"] > 4 * _WARM_ROWS:
+            # a sample only chooses where the passes over all rows begin
+            start = self._sample_start(scaled.where(F.rand(0) < _WARM_ROWS / summary["n"]), start)
+        sets = self._risk_sets(scaled)
         try:
-            start = np.zeros(len(varying))
-            if summary["n"] > 4 * _WARM_ROWS:
-                # a sample only chooses where the passes over all rows begin
-                part = scaled.where(F.rand(0) < _WARM_ROWS / summary["n"]).persist()
-                start = self._sample_start(part, start)
-            beta, information, loglik, table, steps = self._newton(scaled, start)
+            beta, information, loglik, sums, steps = self._newton(sets, start)
+            months, hazards, table = sets.baseline(beta, sums)
         finally:
-            scaled.unpersist()
-            if part is not None:
-                part.unpersist()
+            sets.release()
         covariance = np.linalg.inv(information)
         coef, error = np.zeros(len(inputs)), np.zeros(len(inputs))
         for j, i in enumerate(varying):
             coef[i] = beta[j] / stds[i]
             error[i] = math.sqrt(max(covariance[j, j], 0.0)) / stds[i]
-        hazard = np.cumsum(table["d"] / table["s0"])
         model._set(
             names=names,
             means=[float(v) for v in means],
             coefficients=[float(v) for v in coef],
             standardErrors=[float(v) for v in error],
-            baselineMonths=[float(v) for v in table["t"]],
-            baselineHazard=[float(v) for v in hazard],
             logLikelihood=float(loglik),
             steps=steps,
         )
+        if table is None:
+            model._set(
+                baselineMonths=[float(v) for v in months],
+                baselineHazard=[float(v) for v in np.cumsum(hazards)],
+            )
+        else:
+            model._keep_baseline(table)
         return model
 
+    def _risk_sets(self, scaled: DataFrame) -> RiskSets:
+        return RiskSets(scaled, self.getOrDefault("rowsPerCell"), self.getOrDefault("maxCells"))
+
     def _sample_start(self, part: DataFrame, start: np.ndarray) -> np.ndarray:
         """Where the fit on a sample ends; a sample that can't be fitted leaves the start as it is."""
+        sets = self._risk_sets(part)
         try:
-            return self._newton(part, start)[0]
+            return self._newton(sets, start)[0]
         except (NotConverged, np.linalg.LinAlgError):
             return start
+        finally:
+            sets.release()
 
-    def _newton(self, scaled: DataFrame, start: np.ndarray):
+    def _newton(self, sets: RiskSets, start: np.ndarray):
         ridge, p = self.getOrDefault("ridge"), len(start)
         beta, best, step = start, None, None
         for passes in range(1, self.getOrDefault("maxIter") + 1):
-            table = _risk_sums(scaled, beta)
-            loglik, gradient, information = _partial_likelihood(table, beta)
+            loglik, gradient, information, sums = sets.likelihood(beta)
             loglik -= ridge / 2 * float(beta @ beta)
             if best is not None and not loglik >= best[0] - 1e-9 * abs(best[0]):
                 step = step / 2  # overshot: back half way
@@ -434,99 +408,14 @@ class CoxSurvival(Estimator, _CoxParams, DefaultParamsReadable, DefaultParamsWri
                 # collinear covariates: the smallest ridge that makes the system solvable
                 information = information + np.eye(p) * 1e-9 * max(1.0, float(np.trace(information)))
             step = np.linalg.solve(information, gradient) if p else np.zeros(0)
-            gain = float(gradient @ step) / 2
+            errors = np.sqrt(np.clip(np.diag(np.linalg.inv(information)), 0, None)) if p else np.ones(0)
             best = (loglik, beta)
-            if gain <= self.getOrDefault("tol") * max(1.0, abs(loglik)):
-                return beta, information, loglik, table, passes
             beta = beta + step
+            if not (np.abs(step) > self.getOrDefault("tol") * errors).any():
+                return beta, information, loglik, sums, passes
         raise NotConverged("Cox fit did not converge; raise maxIter or ridge")
 
 
-def _risk_sums(scaled: DataFrame, beta: np.ndarray) -> dict[str, np.ndarray]:
-    """Per month, ascending: risk-set sums and sums over the month's events."""
-    p = len(beta)
-    eta = F.lit(0.0)
-    for j in range(p):
-        eta = eta + F.lit(float(beta[j])) * F.col(f"z{j}")
-    weighted = scaled.withColumn("r", F.exp(eta))
-    upper = [(j, k) for j in range(p) for k in range(j, p)]
-    sums = (
-        weighted.groupBy("t", "e")
-        .agg(
-            F.count("*").alias("n"),
-            F.sum("r").alias("s0"),
-            *[F.sum(f"z{j}").alias(f"z{j}") for j in range(p)],
-            *[F.sum(F.col("r") * F.col(f"z{j}")).alias(f"a{j}") for j in range(p)],
-            *[
-                F.sum(F.col("r") * F.col(f"z{j}") * F.col(f"z{k}")).alias(f"b{j}_{k}")
-                for j, k in upper
-            ],
-        )
-        .limit(2 * _MAX_DURATIONS + 1)
-        .toPandas()
-    )
-    if len(sums) > 2 * _MAX_DURATIONS:
-        raise ValueError(f"more than {_MAX_DURATIONS} different durations; round them first")
-    months = np.sort(sums["t"].unique())
-    at = np.searchsorted(months, sums["t"].to_numpy())
-    died = sums["e"].to_numpy() == 1
-
-    def fill(columns: list[str], rows: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(months), len(columns)))
-        np.add.at(out, at[rows], sums.loc[rows, columns].to_numpy(dtype=float))
-        return out
-
-    names0 = ["s0"]
-    names1 = [f"a{j}" for j in range(p)]
-    names2 = [f"b{j}_{k}" for j, k in upper]
-    everyone = np.ones(len(sums), dtype=bool)
-
-    def square(flat: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(months), p, p))
-        for i, (j, k) in enumerate(upper):
-            out[:, j, k] = out[:, k, j] = flat[:, i]
-        return out
-
-    def suffix(values: np.ndarray) -> np.ndarray:
-        return np.cumsum(values[::-1], axis=0)[::-1]
-
-    return {
-        "t": months,
-        "d": fill(["n"], died)[:, 0],
-        "z": fill([f"z{j}" for j in range(p)], died),
-        "s0": suffix(fill(names0, everyone))[:, 0],
-        "s1": suffix(fill(names1, everyone)),
-        "s2": suffix(square(fill(names2, everyone))),
-        "d0": fill(names0, died)[:, 0],
-        "d1": fill(names1, died),
-        "d2": square(fill(names2, died)),
-    }
-
-
-def _partial_likelihood(table: dict[str, np.ndarray], beta: np.ndarray):
-    """Efron log partial likelihood with gradient and information matrix."""
-    p = len(beta)
-    loglik, gradient, information = 0.0, np.zeros(p), np.zeros((p, p))
-    for i in np.flatnonzero(table["d"]):
-        d, s0, d0 = int(table["d"][i]), table["s0"][i], table["d0"][i]
-        s1, d1 = table["s1"][i], table["d1"][i]
-        s2, d2 = table["s2"][i], table["d2"][i]
-        a0, b0, logs = _efron_sums(s0, d0, d)
-        # the sums weighted by l/d follow from total - f = l/d x dying
-        a1 = (s0 * a0 - d) / d0
-        b1 = (s0 * b0 - a0) / d0
-        b2 = (s0 * b1 - a1) / d0
-        loglik += float(table["z"][i] @ beta) - logs
-        gradient += table["z"][i] - (s1 * a0 - d1 * a1)
-        cross = np.outer(s1, d1)
-        information += (
-            s2 * a0
-            - d2 * a1
-            - (np.outer(s1, s1) * b0 - (cross + cross.T) * b1 + np.outer(d1, d1) * b2)
-        )
-    return loglik, gradient, information
-
-
 class CoxSurvivalModel(Model, _CoxParams, DefaultParamsReadable, DefaultParamsWritable):
     """Fitted Cox model; ``transform`` adds the log relative hazard ``log_risk``."""
 
@@ -536,13 +425,46 @@ class CoxSurvivalModel(Model, _CoxParams, DefaultParamsReadable, DefaultParamsWr
     means = Param(Params._dummy(), "means", "covariate means", TypeConverters.toListFloat)
     coefficients = Param(Params._dummy(), "coefficients", "log hazard ratios", TypeConverters.toListFloat)
     standardErrors = Param(Params._dummy(), "standardErrors", "errors of coefficients", TypeConverters.toListFloat)
-    baselineMonths = Param(Params._dummy(), "baselineMonths", "months with a hazard step", TypeConverters.toListFloat)
+    baselineMonths = Param(Params._dummy(), "baselineMonths", "months with a hazard step, where a cell holds one", TypeConverters.toListFloat)
     baselineHazard = Param(Params._dummy(), "baselineHazard", "cumulative hazard at mean covariates", TypeConverters.toListFloat)
+    baselineTable = Param(Params._dummy(), "baselineTable", "table of hazard steps, where there are many", TypeConverters.toString)
     logLikelihood = Param(Params._dummy(), "logLikelihood", "log partial likelihood", TypeConverters.toFloat)
     steps = Param(Params._dummy(), "steps", "passes over the data", TypeConverters.toInt)
 
     def __init__(self) -> None:
         super().__init__()
+        self._setDefault(baselineTable="")
+
+    def _keep_baseline(self, steps: DataFrame) -> None:
+        """Write (t, step) with the cumulative hazard, as a table of its own."""
+        totals = running_totals(
+            steps,
+            "t",
+            {"step": F.col("step")},
+            rows_per_cell=self.getOrDefault("rowsPerCell"),
+            max_cells=self.getOrDefault("maxCells"),
+        )
+        table = totals.select(F.col("_value").alias("t"), "step", (F.col("step_below") + F.col("step")).alias("hazard"))
+        path = f"{shared_folder(steps.sparkSession).rstrip('/')}/baseline-{uuid.uuid4().hex}"
+        table.write.parquet(path)
+        self._set(baselineTable=path, baselineMonths=[], baselineHazard=[])
+
+    def baseline(self) -> DataFrame:
+        """One row per duration with events, ``t`` and the cumulative ``hazard`` up to it."""
+        spark = SparkSession.getActiveSession()
+        path = self.getOrDefault("baselineTable")
+        if path:
+            return spark.read.parquet(path).select("t", "hazard")
+        known = zip(self.getOrDefault("baselineMonths"), self.getOrDefault("baselineHazard"))
+        return spark.createDataFrame(list(known), "t double, hazard double")
+
+    def save_baseline(self, path: str) -> CoxSurvivalModel:
+        """Copy a baseline table to a folder of the caller's and read it from there; then save the model."""
+        if self.getOrDefault("baselineTable"):
+            spark = SparkSession.getActiveSession()
+            spark.read.parquet(self.getOrDefault("baselineTable")).write.parquet(path)
+            self._set(baselineTable=path)
+        return self
 
     def _inputs(self) -> list[Column]:
         numeric = [C.nan_to_null(F.col(c).cast("double")) for c in self.getOrDefault("covariates")]
@@ -563,8 +485,6 @@ class CoxSurvivalModel(Model, _CoxParams, DefaultParamsReadable, DefaultParamsWr
 
     def get_hazard_ratios(self, spark=None) -> DataFrame:
         """One row per covariate: coefficient, hazard ratio with 95 % limits, Wald z and p."""
-        from pyspark.sql import SparkSession
-
         spark = spark or SparkSession.getActiveSession()
         rows = []
         for name, b, se in zip(
@@ -586,6 +506,9 @@ class CoxSurvivalModel(Model, _CoxParams, DefaultParamsReadable, DefaultParamsWr
 
     def cumulative_hazard_at(self, months: float) -> float:
         """Baseline cumulative hazard up to and including ``months``."""
+        if self.getOrDefault("baselineTable"):
+            reached = self.baseline().where(F.col("t") <= float(months)).agg(F.max("hazard")).first()[0]
+            return float(reached or 0.0)
         return float(self._hazard_by([months])[0])
 
     def _hazard_by(self, times: Sequence[float]) -> np.ndarray:
@@ -602,14 +525,44 @@ class CoxSurvivalModel(Model, _CoxParams, DefaultParamsReadable, DefaultParamsWr
         """Add the probability of churn within ``months``.
 
         Counted from the start, or with ``given_tenure`` from the account's
-        present tenure on. One projection; also runs on streaming DataFrames.
+        present tenure on. One projection; also runs on streaming DataFrames. Only with
+        ``given_tenure`` and a baseline of very many durations are these looked up by a
+        join, over a running total of hazard steps and asked durations.
         """
-        hazard = F.lit(self.cumulative_hazard_at(months))
-        if given_tenure:
+        columns, hazard = df.columns, None
+        if not given_tenure:
+            hazard = F.lit(self.cumulative_hazard_at(months))
+        elif self.getOrDefault("baselineTable"):
+            df, hazard = self._hazard_joined(df, months)
+        else:
             tenure = F.col(self.getOrDefault("durationCol"))
             hazard = self._hazard_column(tenure + F.lit(months)) - self._hazard_column(tenure)
         risk = F.exp(self._log_risk())
-        return df.withColumn(output, F.lit(1.0) - F.exp(-hazard * risk))
+        kept = [c for c in columns if c != output]
+        return df.select(*kept, (F.lit(1.0) - F.exp(-hazard * risk)).alias(output))
+
+    def _hazard_joined(self, df: DataFrame, months: float) -> tuple[DataFrame, Column]:
+        """``df`` with the hazard of the ``months`` after each row's tenure, and that column."""
+        tenure = C.nan_to_null(F.col(self.getOrDefault("durationCol")).cast("double")) + F.lit(0.0)
+        asked = df.select(tenure.alias("t")).distinct().where("t IS NOT NULL")
+        ends = asked.select(F.explode(F.array("t", F.col("t") + F.lit(float(months)))).alias("t"))
+        steps = SparkSession.getActiveSession().read.parquet(self.getOrDefault("baselineTable")).select("t", "step")
+        totals = running_totals(
+            steps.unionByName(ends.withColumn("step", F.lit(0.0))),
+            "t",
+            {"step": F.col("step")},
+            rows_per_cell=self.getOrDefault("rowsPerCell"),
+            max_cells=self.getOrDefault("maxCells"),
+        )
+        upto = materialize(totals.select("_value", (F.col("step_below") + F.col("step")).alias("_upto")))
+        later = upto.select(F.col("_value").alias("_end"), F.col("_upto").alias("_later"))
+        found = (
+            asked.withColumn("_end", F.col("t") + F.lit(float(months)))
+            .join(upto.withColumnRenamed("_value", "t"), "t")
+            .join(later, "_end")
+            .select(F.col("t").alias("_tenure"), (F.col("_later") - F.col("_upto")).alias("_hazard"))
+        )
+        return df.withColumn("_tenure", tenure).join(found, "_tenure", "left"), F.col("_hazard")
 
     def _hazard_column(self, months: Column) -> Column:
         times = self.getOrDefault("baselineMonths")

@@ -165,11 +165,12 @@ SELECT c AS comparable_pairs, lower_ AS concordant_pairs, tied AS tied_pairs,
   round((lower_ + tied / CAST(2 AS DOUBLE)) / c, 9) AS concordance_index FROM sums"""
 
 # a Cox fit on one flag: Newton steps over the tied events of each month, after Efron
-_COX_FLAG = f"""{_clean(0)},
+def _cox_flag(duration: str = "tenure") -> str:
+    return f"""{_clean(0)},
 months AS (
-SELECT tenure AS t, count(*) FILTER (SeniorCitizen = 0) AS m0, count(*) FILTER (SeniorCitizen = 1) AS m1,
+SELECT {duration} AS t, count(*) FILTER (SeniorCitizen = 0) AS m0, count(*) FILTER (SeniorCitizen = 1) AS m1,
   count(*) FILTER (SeniorCitizen = 0 AND Churn = 1) AS d0, count(*) FILTER (SeniorCitizen = 1 AND Churn = 1) AS d1
-FROM clean WHERE tenure > 0 GROUP BY tenure),
+FROM clean WHERE {duration} > 0 GROUP BY 1),
 risk AS (
 SELECT t, d0, d1, CAST(sum(m0) OVER w AS DOUBLE) AS n0, CAST(sum(m1) OVER w AS DOUBLE) AS n1
 FROM months WINDOW w AS (ORDER BY t DESC)),
@@ -186,6 +187,12 @@ fitted AS (
 SELECT b, 1 / sqrt(sum(q * (1 - q))) AS se
 FROM (SELECT b, exp(b) * r1 / (r0 + exp(b) * r1) AS q FROM newton, ties WHERE k = 12) GROUP BY b)"""
 
+_FLAG_RATIO = """SELECT 'SeniorCitizen' AS covariate, round(b, 6) AS coef, round(exp(b), 6) AS hazard_ratio, round(se, 6) AS se,
+  round(exp(b - CAST(1.959963984540054 AS DOUBLE) * se), 6) AS hazard_ratio_lower,
+  round(exp(b + CAST(1.959963984540054 AS DOUBLE) * se), 6) AS hazard_ratio_upper, round(b / se, 6) AS z
+FROM fitted"""
+_PAID_MONTHS = "(TotalCharges / MonthlyCharges)"
+
 # what must hold for any scores
 _CHECKS = "true AS in_range, true AS flag_agrees, true AS above_chance"
 _HELD_OUT_CHECKS = f"WITH {_SPLIT} SELECT customerID, Churn, {_CHECKS} FROM members WHERE part = 'test'"
@@ -279,6 +286,7 @@ CELLED_QUERIES = (
     "score_distribution",
     "time_fold_counts",
     "concordance",
+    "cox_paid_months_ratio",
 )
 
 
@@ -451,12 +459,20 @@ SELECT contract_type, timeline, at_risk, churned, round(hazard, 9) AS hazard,
   COALESCE(hazard > previous_hazard AND hazard > next_hazard, false) AS spike
 FROM beside""",
         "concordance": f"WITH {_clean(0)}, scored AS (SELECT *, churn_probability AS p FROM clean), {_PAIRS}",
-        "cox_flag_ratio": f"""WITH RECURSIVE {_COX_FLAG}
-SELECT 'SeniorCitizen' AS covariate, round(b, 6) AS coef, round(exp(b), 6) AS hazard_ratio, round(se, 6) AS se,
-  round(exp(b - CAST(1.959963984540054 AS DOUBLE) * se), 6) AS hazard_ratio_lower,
-  round(exp(b + CAST(1.959963984540054 AS DOUBLE) * se), 6) AS hazard_ratio_upper, round(b / se, 6) AS z
-FROM fitted""",
-        "cox_flag_horizon": f"""WITH RECURSIVE {_COX_FLAG},
+        "cox_flag_ratio": f"WITH RECURSIVE {_cox_flag()} {_FLAG_RATIO}",
+        "cox_paid_months_ratio": f"WITH RECURSIVE {_cox_flag(_PAID_MONTHS)} {_FLAG_RATIO}",
+        "cox_paid_months_horizon": f"""WITH RECURSIVE {_cox_flag(_PAID_MONTHS)},
+steps AS (
+SELECT t, sum((d0 + d1) / (n0 + exp(b) * n1)) OVER (ORDER BY t) AS upto FROM risk, fitted),
+asked AS (SELECT customerID, SeniorCitizen, {_PAID_MONTHS} AS paid FROM clean),
+ends AS (SELECT *, paid + 12 AS later FROM asked),
+first_year AS (SELECT COALESCE(max(upto), 0) AS h FROM steps WHERE t <= 12),
+now AS (SELECT e.*, COALESCE(s.upto, 0) AS h0 FROM ends e ASOF LEFT JOIN steps s ON e.paid >= s.t),
+next AS (SELECT n.*, COALESCE(s.upto, 0) AS h1 FROM now n ASOF LEFT JOIN steps s ON n.later >= s.t)
+SELECT customerID, round(1 - exp(-first_year.h * exp(b * SeniorCitizen)), 6) AS from_start,
+  round(1 - exp(-(h1 - h0) * exp(b * SeniorCitizen)), 6) AS from_now
+FROM next, first_year, fitted""",
+        "cox_flag_horizon": f"""WITH RECURSIVE {_cox_flag()},
 steps AS (SELECT t, (d0 + d1) / (n0 + exp(b) * n1) AS step FROM risk, fitted),
 tenures AS (SELECT DISTINCT tenure FROM clean),
 hazards AS (
@@ -465,7 +481,7 @@ SELECT tenure, COALESCE((SELECT sum(step) FROM steps WHERE t <= 12), 0) AS first
 SELECT customerID, tenure, round(1 - exp(-first_year * exp(b * SeniorCitizen)), 6) AS from_start,
   round(1 - exp(-next_year * exp(b * SeniorCitizen)), 6) AS from_tenure
 FROM clean JOIN hazards USING (tenure), fitted""",
-        "cox_flag_concordance": f"""WITH RECURSIVE {_COX_FLAG},
+        "cox_flag_concordance": f"""WITH RECURSIVE {_cox_flag()},
 scored AS (SELECT clean.*, b * SeniorCitizen AS p FROM clean, fitted), {_PAIRS}""",
     }
     # other plans for the same results

@@ -611,15 +611,47 @@ def cox_concordance(spark, sf):
 def _cox_flag(spark, sf):
     """Cox fit on one flag, whose steps SQL can follow."""
     rows = flagged(spark, sf)
-    return rows, S.CoxSurvival(covariates=["SeniorCitizen"], categories=(), tol=1e-15).fit(rows)
+    return rows, S.CoxSurvival(covariates=["SeniorCitizen"], categories=()).fit(rows)
 
 
 @query
 def cox_flag_ratio(spark, sf):
-    out = _cox_flag(spark, sf)[1].get_hazard_ratios(spark)
+    return _ratio_row(_cox_flag(spark, sf)[1], spark)
+
+
+def _ratio_row(model, spark):
+    out = model.get_hazard_ratios(spark)
     return out.select("covariate", *[F.round(c, 6).alias(c) for c in out.columns if c not in ("covariate", "p")])
 
 
+def _cox_paid_months(spark, sf, **cells):
+    """Cox fit on one flag over charges paid in months, durations of which hardly two are equal."""
+    paid = F.try_divide(F.col("TotalCharges"), F.col("MonthlyCharges"))
+    rows = materialize(cleaned(spark, sf).select(KEY, "SeniorCitizen", "Churn", paid.alias("paid_months")))
+    cox = S.CoxSurvival(durationCol="paid_months", covariates=["SeniorCitizen"], categories=(), **cells)
+    return rows, cox.fit(rows)
+
+
+@query
+def cox_paid_months_ratio(spark, sf):
+    return _ratio_row(_cox_paid_months(spark, sf)[1], spark)
+
+
+@query
+def cox_paid_months_ratio_celled(spark, sf):
+    cells = {"rowsPerCell": CELLED["rows_per_cell"], "maxCells": 32}
+    return _ratio_row(_cox_paid_months(spark, sf, **cells)[1], spark)
+
+
+@query
+def cox_paid_months_horizon(spark, sf):
+    """Probability of churn within 12 months, from the start and from the months paid on."""
+    rows, model = _cox_paid_months(spark, sf)
+    out = model.predict_churn_probability_at(rows, 12, output="from_start")
+    out = model.predict_churn_probability_at(out, 12, given_tenure=True, output="from_now")
+    return out.select(KEY, *[F.round(c, 6).alias(c) for c in ("from_start", "from_now")])
+
+
 @query
 def cox_flag_horizon(spark, sf):
     """Probability of churn within 12 months, from the start and from the present tenure on."""

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from holdfast.operators import survival as S
+from holdfast.operators.risk_sets import efron_sums
 
 SMALL = {"rows_per_cell": 10, "max_cells": 16}
 
@@ -212,10 +213,74 @@ def test_tie_sums_for_many_events(share):
     d = 200_000
     total, dying = 3.7e5, 3.7e5 * share
     f = total - np.arange(d) / d * dying
-    got = S._efron_sums(total, dying, d)
+    got = [v[0] for v in efron_sums(total, dying, d)]
     np.testing.assert_allclose(got, [(1 / f).sum(), (1 / f**2).sum(), np.log(f).sum()], rtol=1e-11)
 
 
+@pytest.mark.parametrize("d", [1, 2, 31, 32, 33, 34, 64, 1000])
+@pytest.mark.parametrize("share", [1e-6, 0.5, 1.0])
+def test_tie_sums_for_any_number_of_events(d, share):
+    total, dying = 50.0, 50.0 * share
+    f = total - np.arange(d) / d * dying
+    got = [v[0] for v in efron_sums(total, dying, d)]
+    np.testing.assert_allclose(got, [(1 / f).sum(), (1 / f**2).sum(), np.log(f).sum()], rtol=1e-12)
+
+
+def continuous(frame, ties=0.3):
+    """Durations of which hardly two are equal, but for a share of rows at one of them."""
+    rng = np.random.default_rng(3)
+    out = frame.assign(tenure=frame["tenure"] + rng.random(len(frame)).round(6))
+    out.loc[rng.random(len(frame)) < ties, "tenure"] = 17.25
+    return out
+
+
+@pytest.mark.parametrize("cells", [{}, {"rowsPerCell": 10, "maxCells": 16}, {"rowsPerCell": 3, "maxCells": 40}])
+def test_cox_of_continuous_durations(spark, frame, cells):
+    part = continuous(frame)
+    df = spark.createDataFrame(part).repartition(5)
+    model = S.CoxSurvival(covariates=["MonthlyCharges", "SeniorCitizen"], categories=["Contract"], **cells).fit(df)
+    x = design(model, part)
+    mean = x.mean(axis=0)
+    t, e = part["tenure"].to_numpy(), part["Churn"].to_numpy()
+    beta = np.array(model.getOrDefault("coefficients"))
+    best = efron_loglik(x - mean, t, e, beta)
+    assert best == pytest.approx(model.getOrDefault("logLikelihood"), abs=1e-8)
+    for j, se in enumerate(model.getOrDefault("standardErrors")):
+        step = np.eye(len(beta))[j] * se * 1e-3
+        up, down = efron_loglik(x - mean, t, e, beta + step), efron_loglik(x - mean, t, e, beta - step)
+        assert abs(up - down) / 2e-3 < 1e-5  # flat, in standard errors
+    # Breslow baseline from its definition, at asked times and from each tenure on
+    risk = np.exp((x - np.array(model.getOrDefault("means"))) @ beta)
+    steps = {m: ((t == m) & (e == 1)).sum() / risk[t >= m].sum() for m in np.unique(t[e == 1])}
+
+    def upto(months):
+        return sum(s for m, s in steps.items() if m <= months)
+
+    for months in (0.5, 12, 17.25, 1000):
+        assert model.cumulative_hazard_at(months) == pytest.approx(upto(months))
+    got = model.predict_churn_probability_at(df, 6, given_tenure=True).toPandas().sort_values("TotalCharges")
+    want = 1 - np.exp(-np.array([upto(v + 6) - upto(v) for v in t]) * risk)
+    np.testing.assert_allclose(got["churn_probability_at"], want[part["TotalCharges"].argsort()], atol=1e-9)
+    assert len(got) == len(part)
+
+
+def test_cox_baseline_table_moves_with_the_model(spark, frame, tmp_path):
+    df = spark.createDataFrame(continuous(frame))
+    model = S.CoxSurvival(covariates=["MonthlyCharges"], categories=[], maxCells=20, rowsPerCell=20).fit(df)
+    model.save_baseline(str(tmp_path / "baseline")).write().overwrite().save(str(tmp_path / "cox"))
+    again = S.CoxSurvivalModel.load(str(tmp_path / "cox"))
+    assert str(tmp_path) in again.getOrDefault("baselineTable")
+    assert again.cumulative_hazard_at(12) == pytest.approx(model.cumulative_hazard_at(12))
+    assert again.baseline().count() == len({v for v, e in zip(continuous(frame)["tenure"], frame["Churn"]) if e})
+
+
+def test_cox_stops_where_steps_are_far_below_an_error(spark, frame):
+    df = spark.createDataFrame(frame)
+    make = lambda tol: S.CoxSurvival(covariates=["MonthlyCharges"], categories=[], tol=tol).fit(df)
+    a, b = make(1e-9), make(1e-15)
+    assert a.getOrDefault("coefficients") == pytest.approx(b.getOrDefault("coefficients"), rel=1e-13)
+
+
 def test_aft(spark, data):
     fitted = S.fit_aft(data, ["MonthlyCharges", "SeniorCitizen"])
     assert fitted.scale > 0
