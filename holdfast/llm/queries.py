@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from holdfast.llm.ann import op10_ann_forest
 from holdfast.llm.html import op7_html_extraction
+from holdfast.llm.infill import OP13_SQL, op13_fill_in_middle
 from holdfast.llm.langid import op2_language_id
+from holdfast.llm.merkle import OP12_SQL, op12_merkle_manifest
 from holdfast.llm.minhash import OP3_SQL, op3_minhash_dedup
 from holdfast.llm.mixing import op1_source_mixing
 from holdfast.llm.packing import op9_best_fit_packing
@@ -30,6 +32,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity,
         op9_best_fit_packing,
         op10_ann_forest,
+        op12_merkle_manifest,
+        op13_fill_in_middle,
     )
 }
 
@@ -37,4 +41,6 @@ ORACLES: dict[str, str] = {
     "op3_minhash_dedup": OP3_SQL,
     "op5_exact_top_k": OP5_SQL,
     "op6_warc": OP6_SQL,
+    "op12_merkle_manifest": OP12_SQL,
+    "op13_fill_in_middle": OP13_SQL,
 }
