@@ -15,7 +15,7 @@ from holdfast.llm.minhash import OP3_SQL, op3_minhash_dedup
 from holdfast.llm.mixing import op1_source_mixing
 from holdfast.llm.packing import op9_best_fit_packing
 from holdfast.llm.passages import op4_substring_dedup
-from holdfast.llm.suffixes import op11_suffix_array_dedup
+from holdfast.llm.suffixes import OP11_SQL, op11_suffix_array_dedup
 from holdfast.llm.topk import OP5_SQL, op5_exact_top_k
 from holdfast.llm.toxicity import op8_toxicity
 from holdfast.llm.warc import OP6_SQL, op6_warc
@@ -43,6 +43,7 @@ ORACLES: dict[str, str] = {
     "op3_minhash_dedup": OP3_SQL,
     "op5_exact_top_k": OP5_SQL,
     "op6_warc": OP6_SQL,
+    "op11_suffix_array_dedup": OP11_SQL,
     "op12_merkle_manifest": OP12_SQL,
     "op13_fill_in_middle": OP13_SQL,
 }
