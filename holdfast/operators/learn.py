@@ -10,7 +10,7 @@ from pyspark import keyword_only
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import Evaluator
-from pyspark.ml.feature import SQLTransformer, StringIndexer, TargetEncoder, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasLabelCol
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from holdfast.operators.clean import drop_non_features
+from holdfast.operators.encoding import OrderedTargetEncoder, OrderedTargetModel
 from holdfast.operators.metrics import roc_auc, threshold_curve
 from holdfast.operators.ranking import key_digest, stratified_folds
 from holdfast.schema import CATEGORICAL_COLUMNS, DEFAULTS
@@ -187,27 +188,28 @@ class BoostedChurnModel(_ChurnModel):
 
 
 class ChallengerChurnModel(_ChurnModel):
-    """Random forest on target-encoded categories."""
+    """Random forest on categories coded by ordered target statistics.
 
-    def pipeline(self, df: DataFrame) -> Pipeline:
-        numeric, categorical = feature_groups(df, self.exclude)
+    Training rows are coded from the rows before them in several hashed orders, so that no
+    code knows its own row's label; rows to be scored from all training rows.
+    """
+
+    def _encoder(self, categorical: Sequence[str]) -> OrderedTargetEncoder:
+        p = self.params
+        return OrderedTargetEncoder(
+            inputCols=[f"_s_{c}" for c in categorical],
+            outputCols=[f"_t_{c}" for c in categorical],
+            labelCol=_LABEL,
+            permutations=p.get("permutations", 4),
+            priorWeight=float(p.get("smoothing", 1.0)),
+            seed=p.get("seed", DEFAULTS.seed),
+        )
+
+    def _later_stages(self, numeric: Sequence[str], categorical: Sequence[str]) -> list:
         p = self.params
-        stages = [_fill_stage(numeric, categorical)]
-        if categorical:
-            stages.append(_index_stage(categorical))
-            stages.append(
-                TargetEncoder(
-                    inputCols=[f"_i_{c}" for c in categorical],
-                    outputCols=[f"_t_{c}" for c in categorical],
-                    labelCol=_LABEL,
-                    targetType="binary",
-                    smoothing=float(p.get("smoothing", 1.0)),
-                    handleInvalid="keep",
-                )
-            )
         inputs = [f"_n_{c}" for c in numeric] + [f"_t_{c}" for c in categorical]
-        stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
-        stages.append(
+        return [
+            VectorAssembler(inputCols=inputs, outputCol="features"),
             RandomForestClassifier(
                 featuresCol="features",
                 labelCol=_LABEL,
@@ -219,9 +221,34 @@ class ChallengerChurnModel(_ChurnModel):
                 cacheNodeIds=True,
                 checkpointInterval=10,
                 seed=p.get("seed", DEFAULTS.seed),
-            )
-        )
-        return Pipeline(stages=stages)
+            ),
+        ]
+
+    def pipeline(self, df: DataFrame) -> Pipeline:
+        """Stages for a cross-validated search, which fits and codes rows by all rows it is given."""
+        numeric, categorical = feature_groups(df, self.exclude)
+        coded = [self._encoder(categorical)] if categorical else []
+        return Pipeline(stages=[_fill_stage(numeric, categorical), *coded, *self._later_stages(numeric, categorical)])
+
+    def fit(self, df: DataFrame, label: str = DEFAULTS.target):
+        ensure_checkpoint_dir(df.sparkSession)
+        numeric, categorical = feature_groups(df, self.exclude)
+        fill = _fill_stage(numeric, categorical)
+        rows, done = fill.transform(self._labelled(df, label)), [fill]
+        if categorical:
+            encoder = self._encoder(categorical)
+            done.append(encoder.fit(rows))
+            rows = encoder.encode_training(rows)
+        assembler, forest = self._later_stages(numeric, categorical)
+        self.model_ = PipelineModel([*done, assembler, forest.fit(assembler.transform(rows))])
+        return self
+
+    def save(self, path: str) -> None:
+        """As the other models; the table of levels moves to the model's folder."""
+        coded = [s for s in self.model_.stages if isinstance(s, OrderedTargetModel)]
+        for stage in coded:
+            stage.keep_levels(f"{path.rstrip('/')}-levels")
+        super().save(path)
 
 
 # --- out-of-fold scores ---------------------------------------------------------

@@ -193,6 +193,41 @@ _FLAG_RATIO = """SELECT 'SeniorCitizen' AS covariate, round(b, 6) AS coef, round
 FROM fitted"""
 _PAID_MONTHS = "(TotalCharges / MonthlyCharges)"
 
+_ENCODED = ("Contract", "PaymentMethod", "InternetService")
+
+
+def _ordered_codes(permutations: int = 3) -> str:
+    """Codes from the rows before, as windows over whole categories."""
+    parts = []
+    for p in range(permutations):
+        codes = ", ".join(
+            f"(COALESCE(sum(Churn) OVER {c}, 0) + prior) / (count(*) OVER {c} + CAST(1 AS DOUBLE)) AS {c}_code"
+            for c in _ENCODED
+        )
+        windows = ", ".join(
+            f"{c} AS (PARTITION BY {c} ORDER BY digest ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)" for c in _ENCODED
+        )
+        parts.append(f"""SELECT customerID, {p} AS permutation, {codes} FROM (
+SELECT *, (COALESCE(sum(Churn) OVER before, 0) + CAST(0.5 AS DOUBLE)) / (count(*) OVER before + 1) AS prior
+FROM (SELECT *, md5('{42 + p}:' || customerID) AS digest FROM clean)
+WINDOW before AS (ORDER BY digest ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) WINDOW {windows}""")
+    means = ", ".join(f"round(avg({c}_code), 9) AS {c}_code" for c in _ENCODED)
+    return f"WITH {_clean(0)}, codes AS ({' UNION ALL '.join(parts)}) SELECT customerID, {means} FROM codes GROUP BY customerID"
+
+
+def _scoring_codes() -> str:
+    codes = ", ".join(
+        f"round(((SELECT COALESCE(sum(t.Churn), 0) FROM train t WHERE t.{c} = e.{c}) + prior)"
+        f" / ((SELECT count(*) FROM train t WHERE t.{c} = e.{c}) + CAST(1 AS DOUBLE)), 9) AS {c}_code"
+        for c in _ENCODED
+    )
+    return f"""WITH {_SPLIT},
+train AS (SELECT c.* FROM clean c JOIN members m USING (customerID) WHERE part = 'train'),
+held AS (SELECT c.* FROM clean c JOIN members m USING (customerID) WHERE part = 'test'),
+priors AS (SELECT (sum(Churn) + CAST(0.5 AS DOUBLE)) / (count(*) + 1) AS prior FROM train)
+SELECT customerID, {codes} FROM held e, priors"""
+
+
 # what must hold for any scores
 _CHECKS = "true AS in_range, true AS flag_agrees, true AS above_chance"
 _HELD_OUT_CHECKS = f"WITH {_SPLIT} SELECT customerID, Churn, {_CHECKS} FROM members WHERE part = 'test'"
@@ -287,6 +322,7 @@ CELLED_QUERIES = (
     "time_fold_counts",
     "concordance",
     "cox_paid_months_ratio",
+    "ordered_codes",
 )
 
 
@@ -435,6 +471,8 @@ SELECT Contract, bin, count(*) AS accounts, bin / CAST(20 AS DOUBLE) AS bin_star
         "stratified_split_counts": f"WITH {_SPLIT} SELECT part, Churn, count(*) AS accounts FROM members GROUP BY part, Churn",
         "fold_members": f"WITH {_FOLDS} SELECT customerID, Churn, fold FROM members",
         "fold_counts": f"WITH {_FOLDS} SELECT fold, Churn, count(*) AS accounts FROM members GROUP BY fold, Churn",
+        "ordered_codes": _ordered_codes(),
+        "scoring_codes": _scoring_codes(),
         "gbt_checks": _HELD_OUT_CHECKS,
         "challenger_checks": _HELD_OUT_CHECKS,
         "out_of_fold_checks": f"WITH {_FOLDS} SELECT customerID, Churn, fold, {_CHECKS} FROM members",

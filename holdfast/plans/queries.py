@@ -14,6 +14,7 @@ from holdfast.operators import report as R
 from holdfast.operators import segments as G
 from holdfast.operators import survival as S
 from holdfast.operators.clean import AccountCleaner, AccountCleanerModel, missing_report
+from holdfast.operators.encoding import OrderedTargetEncoder
 from holdfast.operators.features import (
     ChurnFeatures,
     cohort_clv_percentile,
@@ -681,6 +682,38 @@ def aft_scores(spark, sf):
 
 # --- learning -------------------------------------------------------------------------
 
+ENCODED = ["Contract", "PaymentMethod", "InternetService"]
+
+
+def _ordered_codes(spark, sf, **cells):
+    rows = flagged(spark, sf).select(KEY, "Churn", *ENCODED)
+    encoder = OrderedTargetEncoder(
+        inputCols=ENCODED, outputCols=[f"{c}_code" for c in ENCODED], permutations=3, **cells
+    )
+    out = encoder.encode_training(rows)
+    return out.select(KEY, *[F.round(f"{c}_code", 9).alias(f"{c}_code") for c in ENCODED])
+
+
+@query
+def ordered_codes(spark, sf):
+    """Categories coded by the labels of the accounts before, in three hashed orders."""
+    return _ordered_codes(spark, sf)
+
+
+@query
+def ordered_codes_celled(spark, sf):
+    return _ordered_codes(spark, sf, rowsPerCell=CELLED["rows_per_cell"])
+
+
+@query
+def scoring_codes(spark, sf):
+    """Held-out accounts' categories, coded by the labels of all training accounts."""
+    rows = flagged(spark, sf).select(KEY, "Churn", *ENCODED)
+    train, test = stratified_split(rows, "Churn", KEY)
+    encoder = OrderedTargetEncoder(inputCols=ENCODED, outputCols=[f"{c}_code" for c in ENCODED])
+    out = encoder.fit(train).transform(test)
+    return out.select(KEY, *[F.round(f"{c}_code", 9).alias(f"{c}_code") for c in ENCODED])
+
 
 def _held_out(spark, sf, model):
     train, test = split_features(spark, sf)
