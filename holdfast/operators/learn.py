@@ -23,6 +23,7 @@ from holdfast.operators.clean import drop_non_features
 from holdfast.operators.encoding import OrderedTargetEncoder, OrderedTargetModel
 from holdfast.operators.metrics import roc_auc, threshold_curve
 from holdfast.operators.ranking import key_digest, stratified_folds
+from holdfast.operators.trees import attributed, forest_nodes, gain_by_feature, model_inputs
 from holdfast.schema import CATEGORICAL_COLUMNS, DEFAULTS
 from holdfast.session import ensure_checkpoint_dir, materialize
 
@@ -124,17 +125,26 @@ class _ChurnModel:
             "predicted", (F.col("churn_probability") >= self.threshold).cast("int")
         )
 
-    def get_feature_importance(self, spark=None) -> DataFrame:
-        """feature, importance_gain (sums to 1), most important first."""
-        *_, assembler, forest = self.model_.stages
-        names = [c.split("_", 2)[2] for c in assembler.getInputCols()]
-        rows = [(n, float(v)) for n, v in zip(names, forest.featureImportances.toArray())]
-        from pyspark.sql import SparkSession
+    def nodes(self) -> DataFrame:
+        """The fitted forest, one row per node."""
+        return forest_nodes(self.model_.stages[-1], model_inputs(self)[0])
 
-        spark = spark or SparkSession.getActiveSession()
-        return spark.createDataFrame(rows, "feature string, importance_gain double").orderBy(
-            F.desc("importance_gain"), "feature"
-        )
+    def get_feature_importance(self, spark=None) -> DataFrame:
+        """feature, importance_gain (raw, not scaled), its share and splits, most important first."""
+        return gain_by_feature(self.nodes(), model_inputs(self)[0])
+
+    def explain(self, df: DataFrame) -> DataFrame:
+        """Add ``base_value``, ``margin`` and ``effects``, what each feature adds to an account's margin.
+
+        Effects and base add up to the margin: half the log odds for boosted trees, the
+        probability for a random forest.
+        """
+        columns = [c for c in df.columns if c not in ("base_value", "margin", "effects")]
+        names, inputs = model_inputs(self)
+        assembled = PipelineModel(self.model_.stages[:-1]).transform(df.select(*columns))
+        found = attributed(assembled, self.nodes(), inputs, names)
+        total = F.aggregate(F.map_values("effects"), F.lit(0.0), lambda a, v: a + v)
+        return found.select(*columns, "base_value", (F.col("base_value") + total).alias("margin"), "effects")
 
     def save(self, path: str) -> None:
         """Write the fitted stages and, beside them, the threshold and exclusions."""

@@ -228,6 +228,125 @@ priors AS (SELECT (sum(Churn) + CAST(0.5 AS DOUBLE)) / (count(*) + 1) AS prior F
 SELECT customerID, {codes} FROM held e, priors"""
 
 
+# trees of given splits as the paths to their leaves: per feature (lower, upper], and the splits on the way
+_TREE_PATHS = (
+    ((("tenure", None, 11), ("contract_months", None, 6)), "t0"),
+    ((("tenure", None, 11), ("contract_months", 6, None)), "t0"),
+    ((("tenure", 11, None), ("MonthlyCharges", None, 70)), "t0"),
+    ((("tenure", 11, None), ("MonthlyCharges", 70, None)), "t0"),
+    ((("contract_months", None, 6), ("tenure", None, 24), ("tenure", None, 5)), "t1"),
+    ((("contract_months", None, 6), ("tenure", None, 24), ("tenure", 5, None)), "t1"),
+    ((("contract_months", None, 6), ("tenure", 24, None)), "t1"),
+    ((("contract_months", 6, None), ("SeniorCitizen", None, 0)), "t1"),
+    ((("contract_months", 6, None), ("SeniorCitizen", 0, None)), "t1"),
+)
+_TREE_INPUTS = ("tenure", "contract_months", "MonthlyCharges", "SeniorCitizen")
+
+
+def _tree_effects() -> str:
+    """Shapley values by their definition: all sets of known features, expectations along each path."""
+
+    def holds(step) -> str:
+        name, above, upto = step
+        return f"{name} > {above}" if upto is None else f"{name} <= {upto}"
+
+    nodes = {}  # condition of a node, named
+    for path, _ in _TREE_PATHS:
+        for k in range(len(path) + 1):
+            nodes.setdefault(" AND ".join(map(holds, path[:k])) or "true", f"n{len(nodes)}")
+    counts = ", ".join(f"CAST(count(*) FILTER ({c}) AS DOUBLE) AS {n}" for c, n in nodes.items())
+    churned = ", ".join(f"count(*) FILTER (({c}) AND Churn = 1) AS y{n}" for c, n in nodes.items())
+    name_of = lambda steps: nodes[" AND ".join(map(holds, steps)) or "true"]
+    sets = range(1 << len(_TREE_INPUTS))
+    worths = []
+    for known in sets:
+        terms = []
+        for path, _ in _TREE_PATHS:
+            leaf = name_of(path)
+            factors = [f"(y{leaf} / {leaf} / 2)"]
+            for k, step in enumerate(path):
+                if known >> _TREE_INPUTS.index(step[0]) & 1:
+                    factors.append(f"(CASE WHEN {holds(step)} THEN 1 ELSE 0 END)")
+                else:
+                    factors.append(f"({name_of(path[: k + 1])} / {name_of(path[:k])})")
+            terms.append(" * ".join(factors))
+        worths.append(f"{' + '.join(terms)} AS f{known}")
+    effects = []
+    for i, name in enumerate(_TREE_INPUTS):
+        parts = []
+        for known in sets:
+            if not known >> i & 1:
+                size = bin(known).count("1")
+                weight = (6, 2, 2, 6)[size]  # size! (3 - size)!
+                parts.append(f"{weight} * (f{known | 1 << i} - f{known})")
+        effects.append(f"round(({' + '.join(parts)}) / 24, 9) AS effect_{name}")
+    return f"""WITH {_clean(0)},
+rows_ AS (SELECT customerID, Churn, tenure, {_MONTHS} AS contract_months, MonthlyCharges, SeniorCitizen FROM clean),
+nodes AS (SELECT {counts}, {churned} FROM rows_),
+worths AS (SELECT customerID, {", ".join(worths)} FROM rows_, nodes)
+SELECT customerID, round(f0, 9) AS base_value, {", ".join(effects)} FROM worths"""
+
+
+_STUMP_INPUTS = ("SeniorCitizen", "Partner", "Dependents", "PaperlessBilling", "TechSupport", "monthly", "new")
+
+
+def _stumps(rounds: int = 3, rate: float = 0.5, positive: float = 3.0) -> str:
+    """Boosting by stumps over yes-or-no features, each round an aggregate over all features."""
+    text = f"""{_SPLIT},
+inputs AS (
+SELECT *, CASE WHEN Contract = 'Month-to-month' THEN 1 ELSE 0 END AS monthly, CASE WHEN tenure < 12 THEN 1 ELSE 0 END AS new FROM clean),
+base AS (
+SELECT i.*, part, CAST(2 * i.Churn - 1 AS DOUBLE) AS y, CASE WHEN i.Churn = 1 THEN CAST({positive} AS DOUBLE) ELSE 1 END AS w,
+  CAST(0 AS DOUBLE) AS m0, CAST(2 * i.Churn - 1 AS DOUBLE) AS r0
+FROM inputs i JOIN members USING (customerID))"""
+    last = "base"
+    for k in range(rounds):
+        step = 1 if k == 0 else rate
+        sides = " UNION ALL ".join(
+            f"SELECT {i} AS place, '{c}' AS feature, {c} AS side, sum(w) AS c, sum(w * r{k}) AS s, sum(w * r{k} * r{k}) AS q"
+            f" FROM {last} WHERE part = 'train' GROUP BY {c}"
+            for i, c in enumerate(_STUMP_INPUTS)
+        )
+        pick = " ".join(f"WHEN '{c}' THEN {c}" for c in _STUMP_INPUTS)
+        text += f""",
+sides{k} AS ({sides}),
+gains{k} AS (
+SELECT place, feature, sum(q) - sum(s) * sum(s) / sum(c) - sum(q - s * s / c) AS gain, sum(c) AS c,
+  sum(s) FILTER (side = 0) / sum(c) FILTER (side = 0) * {step} AS v0, sum(s) FILTER (side = 1) / sum(c) FILTER (side = 1) * {step} AS v1,
+  sum(c) FILTER (side = 0) / sum(c) AS p0
+FROM sides{k} GROUP BY place, feature HAVING count(*) = 2),
+best{k} AS (SELECT * FROM gains{k} ORDER BY gain DESC, place LIMIT 1),
+round{k} AS (
+SELECT b.*, b.m{k} + CASE WHEN (CASE s.feature {pick} END) = 1 THEN v1 ELSE v0 END AS m{k + 1} FROM {last} b, best{k} s),
+scored{k} AS (SELECT *, 4 * y / (1 + exp(2 * y * m{k + 1})) AS r{k + 1} FROM round{k})"""
+        last = f"scored{k}"
+    return text
+
+
+def _stump_effects(rounds: int = 3) -> str:
+    base = " + ".join(f"(SELECT v0 * p0 + v1 * (1 - p0) FROM best{k})" for k in range(rounds))
+    effects = ", ".join(
+        "round("
+        + " + ".join(
+            f"COALESCE((SELECT CASE WHEN {c} = 1 THEN v1 ELSE v0 END - (v0 * p0 + v1 * (1 - p0)) FROM best{k} WHERE feature = '{c}'), 0)"
+            for k in range(rounds)
+        )
+        + f", 6) AS {c}"
+        for c in _STUMP_INPUTS
+    )
+    return f"""WITH {_stumps(rounds)}
+SELECT customerID, round({base}, 6) AS base_value, round(m{rounds}, 6) AS margin, {effects}
+FROM scored{rounds - 1} WHERE part = 'test'"""
+
+
+def _stump_gains(rounds: int = 3) -> str:
+    found = " UNION ALL ".join(f"SELECT feature, gain FROM best{k}" for k in range(rounds))
+    listed = ", ".join(f"('{c}')" for c in _STUMP_INPUTS)
+    return f"""WITH {_stumps(rounds)}
+SELECT f.feature, round(COALESCE(sum(gain), 0), 4) AS importance_gain, count(gain) AS splits
+FROM (VALUES {listed}) AS f(feature) LEFT JOIN ({found}) g ON f.feature = g.feature GROUP BY f.feature"""
+
+
 # what must hold for any scores
 _CHECKS = "true AS in_range, true AS flag_agrees, true AS above_chance"
 _HELD_OUT_CHECKS = f"WITH {_SPLIT} SELECT customerID, Churn, {_CHECKS} FROM members WHERE part = 'test'"
@@ -471,6 +590,12 @@ SELECT Contract, bin, count(*) AS accounts, bin / CAST(20 AS DOUBLE) AS bin_star
         "stratified_split_counts": f"WITH {_SPLIT} SELECT part, Churn, count(*) AS accounts FROM members GROUP BY part, Churn",
         "fold_members": f"WITH {_FOLDS} SELECT customerID, Churn, fold FROM members",
         "fold_counts": f"WITH {_FOLDS} SELECT fold, Churn, count(*) AS accounts FROM members GROUP BY fold, Churn",
+        "tree_effects": _tree_effects(),
+        "stump_scores": f"""WITH {_stumps()}
+SELECT customerID, round(1 / (1 + exp(-2 * m3)), 6) AS churn_probability,
+  CASE WHEN 1 / (1 + exp(-2 * m3)) >= CAST(0.4 AS DOUBLE) THEN 1 ELSE 0 END AS predicted FROM scored2 WHERE part = 'test'""",
+        "stump_effects": _stump_effects(),
+        "stump_gains": _stump_gains(),
         "ordered_codes": _ordered_codes(),
         "scoring_codes": _scoring_codes(),
         "gbt_checks": _HELD_OUT_CHECKS,

@@ -36,6 +36,7 @@ from holdfast.operators.learn import (
 )
 from holdfast.operators.lookups import attach_attributes, map_values
 from holdfast.operators.ranking import exact_median, stratified_folds, stratified_split, time_folds
+from holdfast.operators.trees import attributed, cover_by_rows, strongest
 from holdfast.plans.pipeline import prepare, with_target
 from holdfast.schema import CATEGORICAL_COLUMNS, DEFAULTS
 from holdfast.session import materialize, shared_folder
@@ -767,6 +768,88 @@ def model_comparison(spark, sf):
     return out
 
 
+STUMP_INPUTS = ["SeniorCitizen", "Partner", "Dependents", "PaperlessBilling", "TechSupport", "monthly", "new"]
+
+
+def _stumps(spark, sf):
+    """[train, test] of yes-or-no features and boosted trees of one split each, which SQL can follow."""
+    rows = flagged(spark, sf).withColumns(
+        {
+            "monthly": (F.col("Contract") == "Month-to-month").cast("int"),
+            "new": (F.col("tenure") < 12).cast("int"),
+        }
+    )
+    train, test = [materialize(p) for p in stratified_split(rows.select(KEY, "Churn", *STUMP_INPUTS), "Churn", KEY)]
+    made = BoostedChurnModel(trees=3, depth=1, learning_rate=0.5, subsample=1.0, feature_subset="all", min_child_rows=1)
+    return test, made.fit(train)
+
+
+@query
+def stump_scores(spark, sf):
+    """Held-out scores of three boosted stumps."""
+    test, model = _stumps(spark, sf)
+    return model.predict_proba(test).select(KEY, F.round("churn_probability", 6).alias("churn_probability"), "predicted")
+
+
+@query
+def stump_gains(spark, sf):
+    """Raw gain by feature of three boosted stumps."""
+    found = _stumps(spark, sf)[1].get_feature_importance()
+    return found.select("feature", F.round("importance_gain", 4).alias("importance_gain"), "splits")
+
+
+@query
+def stump_effects(spark, sf):
+    """What each feature adds to a held-out account's margin, for three boosted stumps."""
+    test, model = _stumps(spark, sf)
+    out = model.explain(test)
+    return out.select(
+        KEY,
+        F.round("base_value", 6).alias("base_value"),
+        F.round("margin", 6).alias("margin"),
+        *[F.round(F.col("effects")[c], 6).alias(c) for c in STUMP_INPUTS],
+    )
+
+
+# trees of given splits: (tree, node, left, right, feature, threshold)
+FIXED_SPLITS = [
+    (0, 0, 1, 2, "tenure", 11),
+    (0, 1, 3, 4, "contract_months", 6),
+    (0, 2, 5, 6, "MonthlyCharges", 70),
+    *[(0, n, None, None, None, None) for n in (3, 4, 5, 6)],
+    (1, 0, 1, 2, "contract_months", 6),
+    (1, 1, 3, 4, "tenure", 24),
+    (1, 2, 7, 8, "SeniorCitizen", 0),
+    (1, 3, 5, 6, "tenure", 5),
+    *[(1, n, None, None, None, None) for n in (4, 5, 6, 7, 8)],
+]
+FIXED_INPUTS = ["tenure", "contract_months", "MonthlyCharges", "SeniorCitizen"]
+
+
+@query
+def tree_effects(spark, sf):
+    """Per account, what each feature adds to the mean churn rate of two trees of given splits."""
+    rows = row_features(flagged(spark, sf)).select(KEY, "Churn", *FIXED_INPUTS)
+    nodes = cover_by_rows(FIXED_SPLITS, rows, "Churn")
+    values = F.array(*[F.col(c).cast("double") for c in FIXED_INPUTS])
+    out = attributed(rows, nodes, values, FIXED_INPUTS)
+    return out.select(
+        KEY,
+        F.round("base_value", 9).alias("base_value"),
+        *[F.round(F.col("effects")[c], 9).alias(f"effect_{c}") for c in FIXED_INPUTS],
+    )
+
+
+@query
+def account_reasons(spark, sf):
+    """Held-out accounts with the three features that raise their score most."""
+    train, test = split_features(spark, sf)
+    out = BoostedChurnModel(**TREES).fit(train).explain(test)
+    return out.select(KEY, "margin", F.posexplode(strongest("effects")).alias("rank", "r")).select(
+        KEY, F.round("margin", 9).alias("margin"), (F.col("rank") + 1).alias("rank"), "r.feature", F.round("r.effect", 9).alias("effect")
+    )
+
+
 @query
 def importance(spark, sf):
     model = BoostedChurnModel(**TREES).fit(training_table(spark, sf))
