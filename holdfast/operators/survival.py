@@ -591,6 +591,22 @@ class CoxSurvivalModel(Model, _CoxParams, DefaultParamsReadable, DefaultParamsWr
         ).orderBy("contract_type", "timeline")
 
 
+class CoxChurnScore:
+    """A Cox model as a churn classifier: the probability of churn within ``months``."""
+
+    def __init__(self, covariates: Sequence[str], months: int = 12, threshold: float = DEFAULTS.threshold, **params):
+        self.covariates, self.months, self.threshold, self.params = list(covariates), months, threshold, params
+        self.model_: CoxSurvivalModel | None = None
+
+    def fit(self, df: DataFrame, label: str = DEFAULTS.target) -> CoxChurnScore:
+        self.model_ = CoxSurvival(covariates=self.covariates, eventCol=label, **self.params).fit(df)
+        return self
+
+    def predict_proba(self, df: DataFrame) -> DataFrame:
+        out = self.model_.predict_churn_probability_at(df, self.months, output="churn_probability")
+        return out.withColumn("predicted", (F.col("churn_probability") >= self.threshold).cast("int"))
+
+
 # --- parametric comparison ----------------------------------------------------------
 
 

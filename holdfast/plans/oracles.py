@@ -347,6 +347,75 @@ SELECT f.feature, round(COALESCE(sum(gain), 0), 4) AS importance_gain, count(gai
 FROM (VALUES {listed}) AS f(feature) LEFT JOIN ({found}) g ON f.feature = g.feature GROUP BY f.feature"""
 
 
+_RULES = 18
+
+
+def _rule_halving(rungs: int = 3, keep: int = 3) -> str:
+    """Rungs one after the other: F2 on the held-out rows of each sample, the best third goes on."""
+    text = f"""{_SPLIT},
+rules AS (SELECT k AS trial, CAST(0.05 AS DOUBLE) * (k + 2) AS cut FROM range({_RULES}) AS r(k)),
+held AS (
+SELECT c.Churn, c.churn_probability AS given, md5('43:' || customerID) AS digest FROM clean c JOIN members m USING (customerID)
+WHERE part = 'test'),
+kept0 AS (SELECT trial FROM rules)"""
+    left = _RULES
+    for k in range(rungs):
+        share = float(keep) ** (k - rungs + 1)
+        below = "true" if share >= 1 else f"digest < '{int(share * 16**12):012x}'"
+        wanted = -(-left // keep) if k + 1 < rungs else 1
+        text += f""",
+counts{k} AS (
+SELECT trial, count(*) FILTER (given >= cut AND Churn = 1) AS tp, count(*) FILTER (given >= cut AND Churn = 0) AS fp,
+  count(*) FILTER (given < cut AND Churn = 1) AS fn
+FROM kept{k} JOIN rules USING (trial), held WHERE {below} GROUP BY trial),
+rates{k} AS (SELECT trial, {_ratio("tp", "tp + fp")} AS p, {_ratio("tp", "tp + fn")} AS r FROM counts{k}),
+scores{k} AS (SELECT trial, {k} AS rung, {_f2("p", "r")} AS f2 FROM rates{k}),
+ranked{k} AS (SELECT *, row_number() OVER (ORDER BY f2 DESC, trial) <= {wanted} AS stays FROM scores{k}),
+kept{k + 1} AS (SELECT trial FROM ranked{k} WHERE stays)"""
+        left = wanted
+    every = " UNION ALL ".join(f"SELECT * FROM ranked{k}" for k in range(rungs))
+    return f"""WITH {text}
+SELECT CAST(trial AS INTEGER) AS trial, rung, round(f2, 9) AS f2_score, CASE WHEN stays THEN 'kept' ELSE 'dropped' END AS status
+FROM ({every})"""
+
+
+_SCORES = {
+    "given": "churn_probability",
+    "young": "(1 / (tenure + CAST(1 AS DOUBLE)))",
+    "dear": "(MonthlyCharges / CAST(100 AS DOUBLE))",
+}
+
+
+def _stacked(names: tuple[str, ...]) -> str:
+    """Non-negative least squares by trying every set of positive weights, solved by Cramer's rule."""
+    k = len(names)
+    sums = ", ".join(f"sum({_SCORES[a]} * {_SCORES[b]}) AS g{i}{j}" for i, a in enumerate(names) for j, b in enumerate(names))
+    target = ", ".join(f"sum({_SCORES[a]} * Churn) AS b{i}" for i, a in enumerate(names))
+
+    def det(m):
+        if len(m) == 1:
+            return m[0][0]
+        if not m:
+            return "1"
+        return "(" + " ".join(
+            f"{'-' if c % 2 else '+'} {m[0][c]} * {det([[v for x, v in enumerate(row) if x != c] for row in m[1:]])}" for c in range(len(m))
+        ) + ")"
+
+    choices = []
+    for chosen in range(1, 1 << k):
+        use = [i for i in range(k) if chosen >> i & 1]
+        gram = [[f"g{i}{j}" for j in use] for i in use]
+        weights = {i: f"{det([[f'b{r}' if j == i else f'g{r}{j}' for j in use] for r in use])} / {det(gram)}" for i in use}
+        listed = ", ".join(f"{weights.get(i, 'CAST(0 AS DOUBLE)')} AS w{i}" for i in range(k))
+        choices.append(f"SELECT {listed}, {chosen} AS chosen FROM sums")
+    positive = " AND ".join(f"w{i} >= 0" for i in range(k))
+    worth = " + ".join(f"b{i} * w{i}" for i in range(k))
+    return f"""{_clean(0)},
+sums AS (SELECT {sums}, {target} FROM clean),
+choices AS ({" UNION ALL ".join(choices)}),
+best AS (SELECT c.* FROM choices c, sums WHERE {positive} ORDER BY {worth} DESC LIMIT 1)"""
+
+
 # what must hold for any scores
 _CHECKS = "true AS in_range, true AS flag_agrees, true AS above_chance"
 _HELD_OUT_CHECKS = f"WITH {_SPLIT} SELECT customerID, Churn, {_CHECKS} FROM members WHERE part = 'test'"
@@ -596,6 +665,13 @@ SELECT customerID, round(1 / (1 + exp(-2 * m3)), 6) AS churn_probability,
   CASE WHEN 1 / (1 + exp(-2 * m3)) >= CAST(0.4 AS DOUBLE) THEN 1 ELSE 0 END AS predicted FROM scored2 WHERE part = 'test'""",
         "stump_effects": _stump_effects(),
         "stump_gains": _stump_gains(),
+        "rule_halving": _rule_halving(),
+        "stacked_weights": f"""WITH {_stacked(("given", "young", "dear"))}
+SELECT 'given' AS score, round(w0, 6) AS weight FROM best UNION ALL SELECT 'young', round(w1, 6) FROM best
+UNION ALL SELECT 'dear', round(w2, 6) FROM best""",
+        "stacked_scores": f"""WITH {_stacked(("given", "young"))}
+SELECT customerID, round(least(greatest({_SCORES["given"]} * w0 + {_SCORES["young"]} * w1, 0), 1), 6) AS churn_probability
+FROM clean, best""",
         "ordered_codes": _ordered_codes(),
         "scoring_codes": _scoring_codes(),
         "gbt_checks": _HELD_OUT_CHECKS,

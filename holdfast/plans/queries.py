@@ -37,6 +37,14 @@ from holdfast.operators.learn import (
 from holdfast.operators.lookups import attach_attributes, map_values
 from holdfast.operators.ranking import exact_median, stratified_folds, stratified_split, time_folds
 from holdfast.operators.trees import attributed, cover_by_rows, strongest
+from holdfast.operators.tuning import (
+    Between,
+    RuleModel,
+    StackedModel,
+    halving_search,
+    stack_weights,
+    weighted_score,
+)
 from holdfast.plans.pipeline import prepare, with_target
 from holdfast.schema import CATEGORICAL_COLUMNS, DEFAULTS
 from holdfast.session import materialize, shared_folder
@@ -917,3 +925,69 @@ def tuning(spark, sf):
     model = BoostedChurnModel(**{**TREES, "trees": 3})
     found = search(table, model, {"maxDepth": [2, 4], "stepSize": [0.1, 0.3]})
     return search_results(found, spark)
+
+
+@query
+def tuning_halving(spark, sf):
+    """Nine combinations on nested samples, a third of them kept from rung to rung."""
+    found = halving_search(
+        training_table(spark, sf),
+        lambda **p: BoostedChurnModel(trees=3, **p),
+        {"depth": [2, 3, 4], "learning_rate": Between(0.05, 0.5, log=True), "min_child_rows": Between(5, 40)},
+        trials=9,
+        seconds=3600,
+        rungs=3,
+    )
+    return found.trials
+
+
+RULES = [0.05 * k for k in range(2, 20)]
+
+
+@query
+def rule_halving(spark, sf):
+    """Cuts of the given score on nested samples of hashed keys, a third kept from rung to rung."""
+    rows = flagged(spark, sf).select(KEY, "Churn", F.col("churn_probability").alias("given"))
+    found = halving_search(
+        rows, lambda cut: RuleModel("given", cut), {"cut": RULES}, trials=len(RULES), seconds=3600, rungs=3
+    )
+    return found.trials.select("trial", "rung", F.round("f2_score", 9).alias("f2_score"), "status")
+
+
+# scores that need no fit: the given one, one of tenure, and one that says little
+STACKED = {"given": "churn_probability", "young": "1D / (tenure + 1D)", "dear": "MonthlyCharges / 100D"}
+
+
+def _stacked_weights(spark, sf, names):
+    rows = flagged(spark, sf).select(KEY, "Churn", *[F.expr(STACKED[n]).alias(n) for n in names])
+    return rows, stack_weights(rows, names)
+
+
+@query
+def stacked_weights(spark, sf):
+    """Non-negative weights of three scores."""
+    weights = _stacked_weights(spark, sf, ["given", "young", "dear"])[1]
+    out = spark.createDataFrame(list(weights.items()), "score string, weight double")
+    return out.withColumn("weight", F.round("weight", 6))
+
+
+@query
+def stacked_scores(spark, sf):
+    """Accounts by the learned sum of two scores."""
+    rows, weights = _stacked_weights(spark, sf, ["given", "young"])
+    return rows.select(KEY, F.round(weighted_score(weights), 6).alias("churn_probability"))
+
+
+@query
+def learned_ensemble(spark, sf):
+    """Held-out accounts by both classifiers and the Cox model, weighted by out-of-fold scores."""
+    train, test = stratified_split(raw_accounts(spark, sf), "_target", KEY)
+    small = {**TREES, "trees": 5}
+    makers = {
+        "boosted": lambda: BoostedChurnModel(**small),
+        "challenger": lambda: ChallengerChurnModel(**small, exclude=("boosted",)),
+        "survival": lambda: S.CoxChurnScore(COX_INPUTS),
+    }
+    model = StackedModel(makers, folds=2).fit(train, prepare=prepare, fold_label="_target")
+    out = model.predict_proba(prepare(train, test)[0])
+    return out.select(KEY, "Churn", *makers, "churn_probability", "predicted")
