@@ -18,11 +18,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.words import map_rows, runs
+from holdfast.llm.words import _powers, map_rows, mix, runs
 from holdfast.session import materialize
 
-#: seeds of a text: hashes, places, ascending by kind and place
-SeedsOf = Callable[[bytes], tuple[np.ndarray, np.ndarray]]
+#: seeds of some texts: hashes, numbers of the texts, places; ascending by kind, text and place
+SeedsOf = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 SHUFFLE_CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 CHUNK_BYTES = 2 << 20  # texts whose seeds are made different together
@@ -35,14 +35,22 @@ _SPARE_TOLD = 4  # bits beyond the number of seeds: one in 16 is asked about in
 _SPARE_SENT = 18  # one in 260,000 meets another by chance
 
 
-def packed(values: np.ndarray) -> bytes:
-    """Whole numbers as planes of equal bytes, which pack well."""
-    return values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+def packed(*lists: np.ndarray) -> bytes:
+    """Lists of one length of whole numbers, as planes of equal bytes, which pack well; few where numbers are small."""
+    widths = [max(1, -(-int(v.max()).bit_length() // 8)) if len(v) else 1 for v in lists]
+    planes = [v.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :k].T.tobytes() for v, k in zip(lists, widths)]
+    return bytes(widths) + b"".join(planes)
 
 
-def unpacked(data: bytes, n: int, plane: int = 0) -> np.ndarray:
-    part = np.frombuffer(data, np.uint8, 8 * n, 8 * n * plane).reshape(8, n)
-    return np.ascontiguousarray(part.T).view("<u8")[:, 0].astype(np.uint64)
+def unpacked(data: bytes, n: int, lists: int) -> tuple[list[np.ndarray], bytes]:
+    """The lists of ``n`` numbers, and the bytes behind them."""
+    out, at = [], lists
+    for k in data[:lists]:
+        wide = np.zeros((n, 8), np.uint8)
+        wide[:, :k] = np.frombuffer(data, np.uint8, k * n, at).reshape(k, n).T
+        out.append(wide.view("<u8")[:, 0].astype(np.uint64))
+        at += k * n
+    return out, data[at:]
 
 
 def rising(values: np.ndarray) -> np.ndarray:
@@ -50,19 +58,40 @@ def rising(values: np.ndarray) -> np.ndarray:
     return np.diff(values, prepend=np.uint64(0))
 
 
-def smallest_places(hashes: np.ndarray, window: int) -> np.ndarray:
-    """Places of the smallest hash of every window, by the upper halves; the last of equal ones."""
+def run_hashes(values: np.ndarray, sizes: tuple[int, ...]) -> list[np.ndarray]:
+    """For each size the hashes of all runs of so many values."""
+    up, down = _powers(1 << max(16, len(values).bit_length()))
+    total = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum((values | np.uint64(1)) * up[: len(values)], out=total[1:])
+    out = []
+    for k in sizes:
+        n = max(len(values) - k + 1, 0)
+        out.append(mix((total[k : k + n] - total[:n]) * down[:n] + np.uint64(k)))
+    return out
+
+
+def smallest_places(hashes: np.ndarray, window: int, known: np.ndarray | None = None) -> np.ndarray:
+    """Places of the smallest hash of every window, by the upper halves; the last of equal ones.
+
+    ``known`` marks places that count: stretches of them, at least ``window - 1`` apart. A window
+    lies within a stretch; one of fewer places is a window itself.
+    """
     n = len(hashes)
-    if not n:
+    known = np.ones(n, bool) if known is None else known
+    if not known.any():
         return np.zeros(0, np.int64)
     half = np.uint64(0xFFFFFFFF)
     low = (hashes & ~half) | (half - np.arange(n, dtype=np.uint64))
-    reach, width = min(window, n), 1
-    count = n - reach + 1
-    while 2 * width <= reach:
+    low[~known] = ~np.uint64(0)
+    low = np.concatenate((low, np.full(window, ~np.uint64(0))))
+    width, starts = 1, known.copy()
+    starts[1:] &= ~known[:-1]
+    whole = np.concatenate((known[window - 1 :], np.zeros(min(window - 1, n), bool)))[:n]
+    while 2 * width <= window:
         low = np.minimum(low[:-width], low[width:])
         width *= 2
-    low = np.minimum(low[:count], low[reach - width : reach - width + count])
+    low = np.minimum(low[:n], low[window - width : window - width + n])
+    low = low[known & (starts | whole)]
     places = (half - (low & half)).astype(np.int64)
     return places[np.r_[True, np.diff(places) != 0]]  # ascending, as windows move on
 
@@ -86,20 +115,35 @@ class Chunk:
         self.first, self.last = rows[0][0], rows[-1][0]
         rows = sorted(rows, key=lambda r: r[1])
         self.ids = np.array([r[1] for r in rows], np.int64)
-        found = [seeds_of(r[2]) for r in rows]
-        self.value = np.concatenate([v for v, _ in found]) if found else np.zeros(0, np.uint64)
-        self.at = np.concatenate([a for _, a in found]) if found else np.zeros(0, np.int64)
-        self.doc = np.repeat(np.arange(len(rows)), [len(v) for v, _ in found])
+        self.value, self.doc, self.at = seeds_of([r[2] for r in rows])
+
+    def _sorted(self, bits: int, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(order of the seeds by hashes of ``bits`` bits, these in order, which are the first of their kind)."""
+        short = value >> np.uint64(64 - bits)
+        # seeds of a kind lie in order of documents; equal ones stay so
+        low = len(short).bit_length()
+        if bits + low <= 64:
+            both = np.sort(short << np.uint64(low) | np.arange(len(short), dtype=np.uint64))
+            order, sorted_ = (both & np.uint64((1 << low) - 1)).astype(np.int64), both >> np.uint64(low)
+        else:
+            order = np.argsort(short, kind="stable")
+            sorted_ = short[order]
+        new = np.r_[True, sorted_[1:] != sorted_[:-1]] if len(order) else np.zeros(0, bool)
+        return order, sorted_, new
+
+    def marked(self, bits: int, marks: np.ndarray) -> np.ndarray:
+        """The seeds whose hashes, ascending, are marked."""
+        order, _, new = self._sorted(bits, self.value)
+        if int(new.sum()) != len(marks):
+            raise RuntimeError("answers do not fit the chunk")
+        return np.sort(order[marks[np.cumsum(new) - 1]])
 
     def different(self, bits: int, which: np.ndarray | None = None):
         """(hashes of ``bits`` bits, ascending; number of each seed's; place of the first of each;
         whether several documents hold it) of the seeds ``which``."""
         value = self.value if which is None else self.value[which]
         doc = self.doc if which is None else self.doc[which]
-        short = value >> np.uint64(64 - bits)
-        order = np.argsort(short, kind="stable")  # seeds lie in order of documents
-        sorted_ = short[order]
-        new = np.r_[True, np.diff(sorted_) != 0] if len(order) else np.zeros(0, bool)
+        order, sorted_, new = self._sorted(bits, value)
         number = np.empty(len(order), np.int64)
         number[order] = np.cumsum(new) - 1
         starts = np.flatnonzero(new)
@@ -137,8 +181,9 @@ def _answer(rows):
         values, notes = [], []
         for _, _, data, n in told:
             raw = unpack.decompress(data)
-            values.append(np.cumsum(unpacked(raw, n)))
-            notes.append(np.unpackbits(np.frombuffer(raw, np.uint8, offset=8 * n), count=n))
+            (steps,), rest = unpacked(raw, n, 1)
+            values.append(np.cumsum(steps))
+            notes.append(np.unpackbits(np.frombuffer(rest, np.uint8), count=n))
         _, number, times = np.unique(np.concatenate(values), return_inverse=True, return_counts=True)
         several = times > 1
         several[number[np.concatenate(notes) > 0]] = True
@@ -152,10 +197,7 @@ def _answer(rows):
 def _asked(chunk: Chunk, told: list[tuple[bytes, int]], bits: int) -> np.ndarray:
     """Which seeds of a chunk several documents hold, a few more among them."""
     marks = np.concatenate([np.unpackbits(np.frombuffer(d, np.uint8), count=n) for d, n in told]).astype(bool)
-    short, number, _, _ = chunk.different(bits)
-    if len(short) != len(marks):
-        raise RuntimeError("answers do not fit the chunk")
-    return np.flatnonzero(marks[number])
+    return chunk.marked(bits, marks)
 
 
 def _with_answers(rows) -> Iterator[tuple[list, list, list]]:
@@ -184,7 +226,7 @@ def _send(rows, seeds_of: SeedsOf, bits: int, wide: int, ranges: int):
         ids, at = chunk.ids[chunk.doc[which][first]], chunk.at[which][first]
         for place, part in _parts(_ranges(short, wide, ranges)):
             base = int(ids[part].min())
-            data = packed(rising(short[part])) + packed(ids[part] - base) + packed(at[part])
+            data = packed(rising(short[part]), ids[part] - base, at[part])
             data += np.packbits(several[part]).tobytes()
             yield place, chunk.first, chunk.last, pack.compress(data), len(short[part]), base
 
@@ -196,10 +238,11 @@ def _elect(rows):
         values, owners, places, notes = [], [], [], []
         for _, _, data, n, base in sent:
             raw = unpack.decompress(data)
-            values.append(np.cumsum(unpacked(raw, n)))
-            owners.append(unpacked(raw, n, 1).astype(np.int64) + base)
-            places.append(unpacked(raw, n, 2).astype(np.int64))
-            notes.append(np.unpackbits(np.frombuffer(raw, np.uint8, offset=24 * n), count=n))
+            (steps, ids, at), rest = unpacked(raw, n, 3)
+            values.append(np.cumsum(steps))
+            owners.append(ids.astype(np.int64) + base)
+            places.append(at.astype(np.int64))
+            notes.append(np.unpackbits(np.frombuffer(rest, np.uint8), count=n))
         value, owner, at = np.concatenate(values), np.concatenate(owners), np.concatenate(places)
         order = np.lexsort((owner, value))
         new = np.r_[True, np.diff(value[order]) != 0]
@@ -216,12 +259,12 @@ def _elect(rows):
             found = chosen[mine[yes]]
             base = int(owner[found].min()) if len(found) else 0
             data = np.packbits(yes).tobytes() + base.to_bytes(8, "little", signed=True)
-            data += packed(owner[found] - base) + packed(at[found])
+            data += packed(owner[found] - base, at[found])
             yield first, place, last, pack.compress(data), n
 
 
 def _matches(rows, seeds_of: SeedsOf, bits: int, wide: int):
-    """(doc_id, owner, rows of (place, place in the owner)) for every document and owner of its seeds."""
+    """(doc_ids, owners, places, places in the owner), arrays of a chunk in order of all four."""
     unpack = zstandard.ZstdDecompressor()
     for held, told, elected in _with_answers(rows):
         if not elected:
@@ -236,10 +279,10 @@ def _matches(rows, seeds_of: SeedsOf, bits: int, wide: int):
             size = -(-n // 8)
             yes = np.flatnonzero(np.unpackbits(np.frombuffer(raw, np.uint8, size), count=n)) + at
             base = int.from_bytes(raw[size : size + 8], "little", signed=True)
-            rest = raw[size + 8 :]
+            (ids, places), _ = unpacked(raw[size + 8 :], len(yes), 2)
             shared[yes] = True
-            owner[yes] = unpacked(rest, len(yes), 0).astype(np.int64) + base
-            to[yes] = unpacked(rest, len(yes), 1).astype(np.int64)
+            owner[yes] = ids.astype(np.int64) + base
+            to[yes] = places.astype(np.int64)
             at += n
         if at != len(short):
             raise RuntimeError("answers do not fit the chunk")
@@ -247,17 +290,14 @@ def _matches(rows, seeds_of: SeedsOf, bits: int, wide: int):
         mine = np.flatnonzero(shared[number] & (owner[number] != chunk.ids[doc]))
         doc, place, owners, places = doc[mine], place[mine], owner[number[mine]], to[number[mine]]
         order = np.lexsort((places, place, owners, doc))
-        doc, place, owners, places = doc[order], place[order], owners[order], places[order]
-        edge = np.flatnonzero(np.r_[True, (np.diff(doc) != 0) | (np.diff(owners) != 0), True]) if len(doc) else [0]
-        for a, b in zip(edge[:-1], edge[1:]):
-            yield int(chunk.ids[doc[a]]), int(owners[a]), np.column_stack((place[a:b], places[a:b]))
+        yield chunk.ids[doc[order]], owners[order], place[order], places[order]
 
 
 def seed_matches(docs: DataFrame, seeds_of: SeedsOf, use: Callable, schema: str) -> DataFrame:
     """``use`` over the matches of documents (doc_id, text) with the smallest document of each seed.
 
-    ``use`` takes an iterator of (doc_id, owner, places) and gives rows of ``schema``; ``places`` is
-    an array of (place, first place in the owner). doc_ids are unique and not null. The result is written.
+    ``use`` takes arrays (doc_ids, owners, places, first places in the owner), in order, all of a document
+    together, and gives rows of ``schema``. doc_ids are unique and not null. The result is written.
     """
     spark = docs.sparkSession
     texts = F.coalesce(F.col("text"), F.lit("")).cast("binary")
