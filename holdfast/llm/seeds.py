@@ -11,6 +11,7 @@ arise inside the chunk, which holds all places of its documents, and never trave
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -293,6 +294,20 @@ def _matches(rows, seeds_of: SeedsOf, bits: int, wide: int):
         yield chunk.ids[doc[order]], owners[order], place[order], places[order]
 
 
+@contextlib.contextmanager
+def shuffles_go(spark) -> Iterator[None]:
+    """Shuffle files go once the result they served is written: for steps that are each run once."""
+    before = spark.conf.get(SHUFFLE_CLEANUP_CONF, None)
+    spark.conf.set(SHUFFLE_CLEANUP_CONF, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP_CONF)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP_CONF, before)
+
+
 def seed_matches(docs: DataFrame, seeds_of: SeedsOf, use: Callable, schema: str) -> DataFrame:
     """``use`` over the matches of documents (doc_id, text) with the smallest document of each seed.
 
@@ -322,10 +337,7 @@ def seed_matches(docs: DataFrame, seeds_of: SeedsOf, use: Callable, schema: str)
         block = F.shiftright("uid", _BLOCK_BITS)
         return out.repartition(tasks, block).sortWithinPartitions("uid", "kind", "place")
 
-    before = spark.conf.get(SHUFFLE_CLEANUP_CONF, None)
-    # each step's shuffle is read once; it goes when the step is written
-    spark.conf.set(SHUFFLE_CLEANUP_CONF, "true")
-    try:
+    with shuffles_go(spark):
         told = map_rows(
             stored, lambda rows: _tell(rows, seeds_of, bits, ranges), "place long, uid long, last long, data binary, n long"
         )
@@ -343,8 +355,3 @@ def seed_matches(docs: DataFrame, seeds_of: SeedsOf, use: Callable, schema: str)
             map_rows(in_ranges(sent, count), _elect, "uid long, place long, last long, data binary, n long")
         )
         return materialize(map_rows(beside(answers, elected), lambda rows: use(_matches(rows, seeds_of, bits, wide)), schema))
-    finally:
-        if before is None:
-            spark.conf.unset(SHUFFLE_CLEANUP_CONF)
-        else:
-            spark.conf.set(SHUFFLE_CLEANUP_CONF, before)
