@@ -16,7 +16,7 @@ from holdfast.functions import columns as C
 from holdfast.operators.ranking import average_percent_rank, double_array
 from holdfast.schema import DEFAULTS, SERVICE_COLUMNS, TENURE_COHORTS
 
-_POINTS = 1000  # stored quantiles per cohort
+POINTS = 1000  # stored quantiles per cohort
 _SALTS = 512
 
 
@@ -106,7 +106,7 @@ class ChurnFeatures(Estimator, _FeatureParams, DefaultParamsReadable, DefaultPar
             points = _cohort_points(dataset)
             flat = []
             for x in labels:
-                flat.extend(points.get(x) or [nan] * (_POINTS - 1))
+                flat.extend(points.get(x) or [nan] * (POINTS - 1))
             model._set(cohortPoints=flat)
         return model
 
@@ -117,13 +117,13 @@ def _cohort_points(df: DataFrame) -> dict[str, list[float]]:
     There are only five cohorts, so sketches of all tasks are first merged over
     many salts; each merged sketch then counts with its number of rows.
     """
-    at = double_array([i / _POINTS for i in range(1, _POINTS)])
+    at = double_array([i / POINTS for i in range(1, POINTS)])
     salt = F.pmod(F.xxhash64(*df.columns), F.lit(_SALTS))  # by the row, however it is partitioned
     parts = (
         df.select(C.tenure_cohort().alias("cohort"), C.lifetime_value().alias("v"), salt.alias("s"))
         .where(F.col("cohort").isNotNull() & F.col("v").isNotNull())
         .groupBy("cohort", "s")
-        .agg(F.count("*").alias("n"), F.percentile_approx("v", at, 10 * _POINTS).alias("q"))
+        .agg(F.count("*").alias("n"), F.percentile_approx("v", at, 10 * POINTS).alias("q"))
     )
     merged = (
         parts.select("cohort", "n", F.explode("q").alias("v"))
@@ -172,7 +172,7 @@ class ChurnFeaturesModel(Model, _FeatureParams, DefaultParamsReadable, DefaultPa
         """Share of the fitted cohort's quantiles at or below the value; row-local."""
         columns = df.columns
         flat = self.getOrDefault("cohortPoints")
-        width = _POINTS - 1
+        width = POINTS - 1
         out = df.withColumn("_value", C.lifetime_value() + F.lit(0.0))
         percent = F.lit(None).cast("double")
         cohort = C.tenure_cohort_id()

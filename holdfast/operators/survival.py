@@ -119,6 +119,111 @@ def monthly_hazard(
     )
 
 
+# Upper tail of the normal distribution, Abramowitz and Stegun 26.2.17.
+_TAIL_STEP = 0.2316419
+_TAIL = (0.319381530, -0.356563782, 1.781477937, -1.821255978, 1.330274429)
+
+
+def _normal_tail(z: Column) -> Column:
+    """Probability of a standard normal value above ``z``, to 7.5e-8."""
+    far = F.abs(z)
+    t = F.lit(1.0) / (F.lit(1.0) + F.lit(_TAIL_STEP) * far)
+    series = F.lit(0.0)
+    for b in reversed(_TAIL):
+        series = (series + F.lit(b)) * t
+    upper = F.exp(far * far * F.lit(-0.5)) / F.lit(math.sqrt(2 * math.pi)) * series
+    return F.when(z >= 0, upper).otherwise(F.lit(1.0) - upper)
+
+
+def _rates_apart(churned: Column, at_risk: Column, other_churned: Column, other_at_risk: Column) -> Column:
+    """Difference of two hazards in standard errors under one hazard; null where nobody is at risk."""
+    both = F.try_divide(churned + other_churned, at_risk + other_at_risk)
+    variance = both * (F.lit(1.0) - both) * (F.lit(1.0) / at_risk + F.lit(1.0) / other_at_risk)
+    gap = churned / at_risk - other_churned / other_at_risk
+    tested = (at_risk > 0) & (other_at_risk > 0)
+    return F.when(tested & (variance > 0), gap / F.sqrt(variance)).when(tested, F.lit(0.0))
+
+
+def _holm(table: DataFrame, p: str, output: str) -> DataFrame:
+    """Holm's correction over the tested months of each group."""
+    ranked = Window.partitionBy("contract_type").orderBy(F.col(p).asc_nulls_last(), "timeline")
+    tests = F.count(p).over(Window.partitionBy("contract_type"))
+    step = F.least(F.lit(1.0), F.col(p) * (tests - F.row_number().over(ranked) + 1))
+    so_far = ranked.rowsBetween(Window.unboundedPreceding, 0)
+    return table.withColumn(output, step).withColumn(
+        output, F.when(F.col(p).isNotNull(), F.max(output).over(so_far))
+    )
+
+
+def hazard_cliffs(
+    df: DataFrame,
+    duration: str = "tenure",
+    event: str = DEFAULTS.target,
+    group: str = "Contract",
+    window: int = 6,
+    alpha: float = 0.01,
+) -> DataFrame:
+    """Months in which the hazard jumps, by a scan of the life table; one row per group and month.
+
+    A ``cliff`` is a month whose hazard lies above that of the ``window`` months before it and above
+    that of the ``window`` months after it; the larger of both p-values counts. A ``shift`` is a month
+    from which the hazard stays higher or lower: cliffs aside, the ``window`` months from it on differ
+    from those before, more than around any other month as near. Both are corrected by Holm over the
+    months of a group, at level ``alpha``. Months nobody left in have no row, nor has a start of the
+    curve without churn; the first and the last month have no neighbours on one side and are no cliffs.
+    Durations are whole months. Windows see one row per month of a group.
+    """
+    table = life_table(df, duration, event, group).withColumn("timeline", F.col("timeline").cast("long"))
+    table = table.where("timeline > 0 OR churned > 0")
+    months = Window.partitionBy("contract_type").orderBy("timeline")
+    before, after = months.rangeBetween(-window, -1), months.rangeBetween(1, window)
+    beside = table.withColumns(
+        {
+            "_z1": _rates_apart(
+                F.col("churned"), F.col("at_risk"), F.sum("churned").over(before), F.sum("at_risk").over(before)
+            ),
+            "_z2": _rates_apart(
+                F.col("churned"), F.col("at_risk"), F.sum("churned").over(after), F.sum("at_risk").over(after)
+            ),
+        }
+    )
+    # least() passes over nulls, so a side without months must be asked for
+    weaker = F.when(F.col("_z1").isNotNull() & F.col("_z2").isNotNull(), F.least("_z1", "_z2"))
+    spikes = _holm(beside.withColumn("z_cliff", weaker).withColumn("_p", _normal_tail(weaker)), "_p", "p_cliff")
+    cliff = F.coalesce(F.col("p_cliff") < alpha, F.lit(False))
+    level = spikes.withColumn("cliff", cliff).withColumns(
+        {
+            "_c": F.when(~F.col("cliff"), F.col("churned")).otherwise(0),
+            "_n": F.when(~F.col("cliff"), F.col("at_risk")).otherwise(0),
+        }
+    )
+    later = months.rangeBetween(0, window - 1)
+    step = _rates_apart(
+        F.sum("_c").over(later), F.sum("_n").over(later), F.sum("_c").over(before), F.sum("_n").over(before)
+    )
+    scanned = level.withColumn("z_shift", step)
+    tail = F.least(F.lit(1.0), F.lit(2.0) * _normal_tail(F.abs("z_shift")))
+    scanned = _holm(scanned.withColumn("_p", tail), "_p", "p_shift")
+    # the clearest month of its surroundings, the earliest of equal ones
+    size = F.abs("z_shift")
+    ahead = F.coalesce(F.max(size).over(before), F.lit(-1.0))
+    behind = F.coalesce(F.max(size).over(after), F.lit(-1.0))
+    clearest = (size > ahead) & (size >= behind)
+    return scanned.withColumn("shift", F.coalesce((F.col("p_shift") < alpha) & clearest, F.lit(False))).select(
+        "contract_type",
+        "timeline",
+        "at_risk",
+        "churned",
+        F.try_divide(F.col("churned"), F.col("at_risk")).alias("hazard"),
+        "z_cliff",
+        "p_cliff",
+        "cliff",
+        "z_shift",
+        "p_shift",
+        "shift",
+    )
+
+
 # --- concordance ------------------------------------------------------------------
 
 

@@ -507,6 +507,8 @@ CELLED_QUERIES = (
     "evaluate_at_threshold",
     "lift_curve",
     "score_distribution",
+    "score_density",
+    "support_recency_as_of_purchase",
     "time_fold_counts",
     "concordance",
     "cox_paid_months_ratio",
@@ -514,6 +516,68 @@ CELLED_QUERIES = (
 )
 
 
+def _apart(c1: str, n1: str, c2: str, n2: str) -> str:
+    """Difference of two hazards in standard errors under one hazard."""
+    both = f"(({c1}) + ({c2})) / CAST(({n1}) + ({n2}) AS DOUBLE)"
+    variance = f"{both} * (1 - {both}) * (1 / CAST({n1} AS DOUBLE) + 1 / CAST({n2} AS DOUBLE))"
+    gap = f"({c1}) / CAST({n1} AS DOUBLE) - ({c2}) / CAST({n2} AS DOUBLE)"
+    return f"""CASE WHEN {n1} > 0 AND {n2} > 0 THEN
+    CASE WHEN {variance} > 0 THEN ({gap}) / sqrt({variance}) ELSE 0 END END"""
+
+
+def _tail(z: str) -> str:
+    """Upper tail of the normal distribution for z >= 0, Abramowitz and Stegun 26.2.17."""
+    t = f"(1 / (1 + CAST(0.2316419 AS DOUBLE) * ({z})))"
+    terms = (0.319381530, -0.356563782, 1.781477937, -1.821255978, 1.330274429)
+    series = " + ".join(f"CAST({b} AS DOUBLE) * pow({t}, {i})" for i, b in enumerate(terms, 1))
+    return f"(exp(-pow({z}, 2) / 2) / sqrt(2 * pi()) * ({series}))"
+
+
+def _corrected(source: str, p: str, output: str) -> str:
+    """Holm's correction per contract, from the sum of its definition."""
+    return f"""(SELECT max(least(1, b.{p} * (SELECT count(*) FROM {source} c WHERE c.contract_type = a.contract_type
+    AND c.{p} IS NOT NULL AND (c.{p} > b.{p} OR (c.{p} = b.{p} AND c.timeline >= b.timeline)))))
+    FROM {source} b WHERE a.{p} IS NOT NULL AND b.contract_type = a.contract_type
+    AND (b.{p} < a.{p} OR (b.{p} = a.{p} AND b.timeline <= a.timeline))) AS {output}"""
+
+
+def _hazard_cliffs() -> str:
+    z1 = _apart("churned", "at_risk", "c_before", "n_before")
+    z2 = _apart("churned", "at_risk", "c_after", "n_after")
+    return f"""WITH {_LIFE},
+sums AS (
+SELECT *, sum(churned) OVER b AS c_before, sum(at_risk) OVER b AS n_before,
+  sum(churned) OVER a AS c_after, sum(at_risk) OVER a AS n_after FROM life
+WHERE timeline > 0 OR churned > 0
+WINDOW b AS (PARTITION BY contract_type ORDER BY timeline RANGE BETWEEN 6 PRECEDING AND 1 PRECEDING),
+  a AS (PARTITION BY contract_type ORDER BY timeline RANGE BETWEEN 1 FOLLOWING AND 6 FOLLOWING)),
+sides AS (SELECT *, {z1} AS z1, {z2} AS z2 FROM sums),
+weaker AS (SELECT *, CASE WHEN z1 IS NOT NULL AND z2 IS NOT NULL THEN least(z1, z2) END AS z_cliff FROM sides),
+tails AS (
+SELECT *, CASE WHEN z_cliff >= 0 THEN {_tail("z_cliff")} WHEN z_cliff < 0 THEN 1 - {_tail("-z_cliff")} END AS p
+FROM weaker),
+cliffs AS (SELECT a.*, {_corrected("tails", "p", "p_cliff")} FROM tails a),
+plain AS (
+SELECT contract_type, timeline, at_risk, churned, z_cliff, p_cliff, COALESCE(p_cliff < CAST(0.01 AS DOUBLE), false) AS cliff,
+  CASE WHEN p_cliff < CAST(0.01 AS DOUBLE) THEN 0 ELSE churned END AS c,
+  CASE WHEN p_cliff < CAST(0.01 AS DOUBLE) THEN 0 ELSE at_risk END AS n FROM cliffs),
+halves AS (
+SELECT *, sum(c) OVER b AS c1, sum(n) OVER b AS n1, sum(c) OVER a AS c2, sum(n) OVER a AS n2 FROM plain
+WINDOW b AS (PARTITION BY contract_type ORDER BY timeline RANGE BETWEEN 6 PRECEDING AND 1 PRECEDING),
+  a AS (PARTITION BY contract_type ORDER BY timeline RANGE BETWEEN CURRENT ROW AND 5 FOLLOWING)),
+steps AS (SELECT *, {_apart("c2", "n2", "c1", "n1")} AS z_shift FROM halves),
+scanned AS (SELECT *, least(1, 2 * {_tail("abs(z_shift)")}) AS q, abs(z_shift) AS size FROM steps),
+shifts AS (SELECT a.*, {_corrected("scanned", "q", "p_shift")} FROM scanned a),
+beside AS (
+SELECT *, max(size) OVER b AS size1, max(size) OVER a AS size2 FROM shifts
+WINDOW b AS (PARTITION BY contract_type ORDER BY timeline RANGE BETWEEN 6 PRECEDING AND 1 PRECEDING),
+  a AS (PARTITION BY contract_type ORDER BY timeline RANGE BETWEEN 1 FOLLOWING AND 6 FOLLOWING))
+SELECT contract_type, timeline, at_risk, churned, round(churned / CAST(at_risk AS DOUBLE), 6) AS hazard,
+  round(z_cliff, 6) AS z_cliff, round(p_cliff, 6) AS p_cliff, cliff, round(z_shift, 6) AS z_shift,
+  round(p_shift, 6) AS p_shift, COALESCE(p_shift < CAST(0.01 AS DOUBLE) AND size > COALESCE(size1, -1)
+  AND size >= COALESCE(size2, -1), false) AS shift FROM beside"""
+
+
 def oracles() -> dict[str, str]:
     q = f"WITH {_PREDICTIONS}\n"
     high = "FROM predictions WHERE churn_probability >= CAST(0.4 AS DOUBLE)"
@@ -573,6 +637,36 @@ FROM customer CROSS JOIN newest LEFT JOIN last ON c_custkey = user_id)
 SELECT c_custkey, days_since_support,
   round(COALESCE(1 / (1 + ln(CAST(1 + days_since_support AS DOUBLE))), 0), 6) AS support_recency_score
 FROM spans""",
+        "support_recency_as_of_purchase": """WITH found AS (
+SELECT b.event_id, b.user_id, b.ts, (SELECT max(e.ts) FROM events e WHERE e.event_type = 'error'
+  AND e.user_id = b.user_id AND e.ts <= b.ts) AS last_contact
+FROM events b WHERE b.event_type = 'purchase'),
+spans AS (SELECT *, CAST(CAST(ts AS DATE) - CAST(last_contact AS DATE) AS INTEGER) AS days_since_support FROM found)
+SELECT *, round(COALESCE(1 / (1 + ln(CAST(1 + days_since_support AS DOUBLE))), 0), 6) AS support_recency_score
+FROM spans""",
+        "contact_recency_monthly": """WITH firsts AS (
+SELECT o_custkey, date_trunc('month', min(o_orderdate)) AS start FROM orders GROUP BY o_custkey),
+newest AS (SELECT date_trunc('month', max(o_orderdate)) AS stop FROM orders),
+months AS (
+SELECT o_custkey, CAST(unnest(generate_series(CAST(start AS TIMESTAMP), CAST(stop AS TIMESTAMP), INTERVAL 1 MONTH))
+  + INTERVAL 1 MONTH - INTERVAL 1 DAY AS DATE) AS month_end FROM firsts, newest),
+urgent AS (
+SELECT o_custkey, CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderpriority = '1-URGENT'),
+found AS (
+SELECT m.o_custkey, m.month_end, u.day AS last_contact, CAST(m.month_end - u.day AS INTEGER) AS days_since_support
+FROM months m ASOF LEFT JOIN urgent u ON m.o_custkey = u.o_custkey AND m.month_end >= u.day)
+SELECT *, round(COALESCE(1 / (1 + ln(CAST(1 + days_since_support AS DOUBLE))), 0), 6) AS support_recency_score
+FROM found""",
+        "cohort_percentile_fitted": f"""WITH {_features(0)}
+SELECT customerID, cohort_clv_percentile,
+  CASE WHEN cohort_clv_percentile IS NOT NULL THEN count(cohort_clv_percentile) OVER (PARTITION BY {_COHORT}) END
+    AS cohort_accounts,
+  CASE WHEN cohort_clv_percentile IS NOT NULL THEN true END AS within_error FROM features""",
+        "stream_daily_kpis": """SELECT CAST(ts AS DATE) AS day, event_type AS kind, count(*) AS events,
+  CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS value_cents
+FROM events WHERE ts IS NOT NULL GROUP BY 1, 2""",
+        "stream_last_contacts": """SELECT user_id AS account, max(ts) AS last_contact, count(*) AS contacts
+FROM events WHERE event_type = 'error' AND user_id IS NOT NULL GROUP BY user_id""",
         "predictions_list": f"{q} SELECT {_PREDICTION_COLUMNS} FROM predictions",
         "customer_lookup": f"""WITH accounts AS ({ACCOUNT_VIEW_SQL})
 SELECT s.customerID, s.churn_probability, a.Contract, a.MonthlyCharges, a.tenure
@@ -651,6 +745,19 @@ FROM clean GROUP BY Contract""",
         "score_histogram": f"""WITH {_clean(0)},
 bins AS (SELECT Contract, CAST(least(floor(churn_probability * 20), 19) AS INTEGER) AS bin FROM clean)
 SELECT Contract, bin, count(*) AS accounts, bin / CAST(20 AS DOUBLE) AS bin_start FROM bins GROUP BY Contract, bin""",
+        "score_density": f"""WITH {_clean(0)},
+shapes AS (
+SELECT Contract, count(*) AS accounts, stddev_samp(churn_probability) AS s,
+  quantile_cont(churn_probability, 0.75) - quantile_cont(churn_probability, 0.25) AS iqr
+FROM clean GROUP BY Contract),
+widths AS (
+SELECT Contract, accounts, CAST(1.059 AS DOUBLE) * CASE WHEN iqr > 0 THEN least(s, iqr / CAST(1.349 AS DOUBLE)) ELSE s END
+  * pow(CAST(accounts AS DOUBLE), CAST(-0.2 AS DOUBLE)) AS h FROM shapes),
+scores AS (SELECT Contract, churn_probability AS p, count(*) AS n FROM clean GROUP BY 1, 2),
+grid AS (SELECT CAST(k AS DOUBLE) / 100 AS score FROM range(0, 101) AS r(k))
+SELECT Contract, score, accounts, round(h, 9) AS bandwidth,
+  round(sum(n * exp(-pow((score - p) / h, 2) / 2)) / sqrt(2 * pi()) / (accounts * h), 6) AS density
+FROM scores JOIN widths USING (Contract), grid GROUP BY Contract, score, accounts, h""",
         "contract_types": f"WITH accounts AS ({ACCOUNT_VIEW_SQL}) SELECT DISTINCT Contract FROM accounts",
         "segment_lift": _segments(0),
         "segment_lift_literal": _segments(1),
@@ -697,6 +804,7 @@ SELECT contract_type, timeline, at_risk, churned, round(hazard, 9) AS hazard,
   timeline IN (12, 24, 36) AS renewal_month,
   COALESCE(hazard > previous_hazard AND hazard > next_hazard, false) AS spike
 FROM beside""",
+        "hazard_cliffs": _hazard_cliffs(),
         "concordance": f"WITH {_clean(0)}, scored AS (SELECT *, churn_probability AS p FROM clean), {_PAIRS}",
         "cox_flag_ratio": f"WITH RECURSIVE {_cox_flag()} {_FLAG_RATIO}",
         "cox_paid_months_ratio": f"WITH RECURSIVE {_cox_flag(_PAID_MONTHS)} {_FLAG_RATIO}",

@@ -16,13 +16,19 @@ from holdfast.operators import survival as S
 from holdfast.operators.clean import AccountCleaner, AccountCleanerModel, missing_report
 from holdfast.operators.encoding import OrderedTargetEncoder
 from holdfast.operators.features import (
+    POINTS,
     ChurnFeatures,
     cohort_clv_percentile,
     cohort_stats,
     predictions_table,
     row_features,
 )
-from holdfast.operators.history import event_support_recency, rolling_charge_volatility
+from holdfast.operators.history import (
+    event_support_recency,
+    month_ends,
+    rolling_charge_volatility,
+    support_recency_as_of,
+)
 from holdfast.operators.learn import (
     BoostedChurnModel,
     ChallengerChurnModel,
@@ -34,8 +40,15 @@ from holdfast.operators.learn import (
     search,
     search_results,
 )
-from holdfast.operators.lookups import attach_attributes, map_values
+from holdfast.operators.lookups import attach_attributes, join_lookup, map_values
 from holdfast.operators.ranking import exact_median, stratified_folds, stratified_split, time_folds
+from holdfast.operators.sketches import (
+    cohort_sketches,
+    features_from_sketches,
+    merged_sketches,
+    rank_error,
+    store_batch,
+)
 from holdfast.operators.trees import attributed, cover_by_rows, strongest
 from holdfast.operators.tuning import (
     Between,
@@ -52,6 +65,7 @@ from holdfast.sources import read_accounts
 from holdfast.sources.accounts import target_distribution
 from holdfast.sources.orders import accounts_from_orders
 from holdfast.sources.sinks import write_features, write_report
+from holdfast.streaming import state
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -281,6 +295,109 @@ def support_recency_events(spark, sf):
     )
 
 
+def _purchase_recency(spark, sf, **slices):
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    bought = events.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    errors = events.where("event_type = 'error'").select("user_id", "ts")
+    out = support_recency_as_of(bought, errors, "user_id", "ts", **slices)
+    return out.withColumn("support_recency_score", F.round("support_recency_score", 6))
+
+
+@query
+def support_recency_as_of_purchase(spark, sf):
+    """Support recency of users as known at each of their purchases."""
+    return _purchase_recency(spark, sf)
+
+
+@query
+def support_recency_as_of_purchase_celled(spark, sf):
+    return _purchase_recency(spark, sf, rows_per_slice=50, max_slices=16)
+
+
+@query
+def contact_recency_monthly(spark, sf):
+    """Recency of urgent orders at every month end from a customer's first order to the newest one."""
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    newest = orders.agg(F.max("o_orderdate")).first()[0]
+    accounts = orders.groupBy("o_custkey").agg(F.min("o_orderdate").alias("first"))
+    months = month_ends(accounts, "o_custkey", "first", F.lit(newest))
+    urgent = orders.where("o_orderpriority = '1-URGENT'").select(
+        "o_custkey", F.col("o_orderdate").alias("month_end")
+    )
+    return support_recency_as_of(months, urgent, "o_custkey", "month_end").select(
+        "o_custkey",
+        F.col("month_end").cast("date").alias("month_end"),
+        F.col("last_contact").cast("date").alias("last_contact"),
+        "days_since_support",
+        F.round("support_recency_score", 6).alias("support_recency_score"),
+    )
+
+
+@query
+def cohort_percentile_fitted(spark, sf):
+    """Percentiles from sketches stored per batch, a payment method each, held against exact ones."""
+    df = flagged(spark, sf)
+    folder = f"{shared_folder(spark).rstrip('/')}/sketches-{uuid.uuid4().hex}"
+    methods = [r[0] for r in df.select("PaymentMethod").distinct().collect()]  # four at most
+    for i, method in enumerate(sorted(methods)):
+        store_batch(cohort_sketches(df.where(F.col("PaymentMethod") == method)), folder, str(i))
+    sketches = materialize(merged_sketches(spark, folder))
+    model = features_from_sketches(sketches)
+    fitted = model.transform(cleaned(spark, sf)).select(KEY, F.col("cohort_clv_percentile").alias("_fitted"))
+    place = F.struct(C.tenure_cohort().alias("cohort"), C.lifetime_value().alias("value"))
+    exact = cohort_clv_percentile(df).select(KEY, "cohort_clv_percentile", place.alias("_place"))
+    ties = df.groupBy(place.alias("_place")).agg(F.count("*").alias("_ties"))
+    sizes = sketches.select(F.col("cohort").alias("_cohort"), "accounts")
+    both = (
+        join_lookup(exact, ties, "_place", KEY)
+        .join(fitted, KEY)
+        .join(F.broadcast(sizes), F.col("_place.cohort") == F.col("_cohort"), "left")
+    )
+    # any share from that of smaller values to that of equal ones is right for a tied value
+    below = F.col("cohort_clv_percentile") - (F.col("_ties") + 1) / (2 * F.col("accounts"))
+    upto = F.col("cohort_clv_percentile") + (F.col("_ties") - 1) / (2 * F.col("accounts"))
+    # one rank of 100 may miss the error, twice the error hardly ever
+    error = 2 * rank_error() + 1 / POINTS
+    return both.select(
+        KEY,
+        "cohort_clv_percentile",
+        F.col("accounts").alias("cohort_accounts"),
+        F.col("_fitted").between(below - error, upto + error).alias("within_error"),
+    )
+
+
+# --- streams ----------------------------------------------------------------------------
+
+
+def _streamed(spark, sf, changes, schema: str, keys: list[str]) -> DataFrame:
+    """Events arrive in two parts, older ones first; the second run goes on from the first one's state."""
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    folder = f"{shared_folder(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    events = events.withColumn("ts", F.col("ts").cast("timestamp"))
+    seconds = F.unix_micros("ts") / 1e6
+    first, last = events.agg(F.min(seconds), F.max(seconds)).first()
+    older = F.coalesce(seconds < ((first or 0) + (last or 0)) / 2, F.lit(True))
+    for part in (older, ~older):
+        events.where(part).write.mode("append").parquet(f"{folder}/events")
+        stream = spark.readStream.schema(events.schema).parquet(f"{folder}/events")
+        state.keep_current(changes(stream), f"{folder}/state")
+    return state.current(spark, f"{folder}/state", schema, keys)
+
+
+@query
+def stream_daily_kpis(spark, sf):
+    """Events and their value per day and kind, kept up to date by a stream."""
+    schema = "day date, kind string, events long, value_cents long"
+    return _streamed(spark, sf, state.daily_kpis, schema, ["day", "kind"])
+
+
+@query
+def stream_last_contacts(spark, sf):
+    """Last support event of each account, kept up to date by a stream."""
+    schema = "account long, last_contact timestamp, contacts long"
+    return _streamed(spark, sf, state.last_contacts, schema, ["account"])
+
+
 # --- predictions and risk lists -------------------------------------------------------
 
 
@@ -467,6 +584,22 @@ def score_histogram(spark, sf):
     return G.score_histogram(flagged(spark, sf))
 
 
+def _density(spark, sf, **cells):
+    out = G.score_density(flagged(spark, sf), **cells)
+    return out.withColumns({"density": F.round("density", 6), "bandwidth": F.round("bandwidth", 9)})
+
+
+@query
+def score_density(spark, sf):
+    """Density of the scores per contract, on a grid that holds the given scores."""
+    return _density(spark, sf)
+
+
+@query
+def score_density_celled(spark, sf):
+    return _density(spark, sf, **CELLED)
+
+
 @query
 def contract_types(spark, sf):
     return G.group_values(accounts_from_orders(spark, sf))
@@ -579,6 +712,15 @@ def _concordance_row(out):
     )
 
 
+@query
+def hazard_cliffs(spark, sf):
+    """Months in which the churn hazard of a contract jumps."""
+    out = S.hazard_cliffs(flagged(spark, sf))
+    return out.withColumns(
+        {c: F.round(c, 6) for c in ("hazard", "z_cliff", "p_cliff", "z_shift", "p_shift")}
+    )
+
+
 @query
 def concordance(spark, sf):
     return _concordance(spark, sf)

@@ -111,3 +111,34 @@ def test_lookups(spark, table):
 def test_top_features(spark):
     df = spark.createDataFrame([("a", 0.1), ("b", 0.7), ("c", 0.2)], "feature string, importance_gain double")
     assert [r[0] for r in R.top_features(df, 2).collect()] == ["b", "c"]
+
+
+def _kernel_density(values, at, width):
+    return np.exp(-(((at[:, None] - values) / width) ** 2) / 2).sum(axis=1) / np.sqrt(2 * np.pi) / width / len(values)
+
+
+def test_score_density(table):
+    frame, df = table
+    got = G.score_density(df).toPandas()
+    for name, part in frame.groupby("Contract"):
+        p = part["churn_probability"].to_numpy()
+        width = 1.059 * min(p.std(ddof=1), np.subtract(*np.quantile(p, [0.75, 0.25])) / 1.349) * len(p) ** -0.2
+        mine = got[got["Contract"] == name].sort_values("score")
+        assert mine["bandwidth"].to_numpy() == pytest.approx(width) and (mine["accounts"] == len(p)).all()
+        assert mine["density"].to_numpy() == pytest.approx(_kernel_density(p, mine["score"].to_numpy(), width))
+
+
+def test_score_density_off_the_grid(spark):
+    """Scores between grid places err by the squared grid step; equal scores and a lone one have a width."""
+    rng = np.random.default_rng(3)
+    p = rng.beta(2, 5, 2000)
+    rows = [("many", float(x)) for x in p] + [("equal", 0.5)] * 5 + [("lone", 1.0), (None, 0.2), (None, 0.4), ("many", None)]
+    got = G.score_density(spark.createDataFrame(rows, "Contract string, churn_probability double")).toPandas()
+    many = got[got["Contract"] == "many"].sort_values("score")
+    want = _kernel_density(p, many["score"].to_numpy(), many["bandwidth"].iloc[0])
+    assert np.abs(many["density"].to_numpy() - want).max() < 1e-3 * want.max()
+    assert set(got["Contract"]) == {"many", "equal", "lone", "missing"} and (many["accounts"] == 2000).all()
+    equal = got[got["Contract"] == "equal"]
+    assert equal["bandwidth"].iloc[0] == 0.001 and equal["density"].idxmax() == (equal["score"] - 0.5).abs().idxmin()
+    empty = spark.createDataFrame([], "Contract string, churn_probability double")
+    assert G.score_density(empty).count() == 0

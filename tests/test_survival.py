@@ -290,3 +290,45 @@ def test_hazard_neighbours(spark, data):
     rows = S.monthly_hazard(data).toPandas()
     assert rows["hazard"].between(0, 1).all()
     assert set(rows.loc[rows["renewal_month"], "timeline"]) <= {12, 24, 36}
+
+
+def _life(spark, hazards, rng=None, start=20_000):
+    """Accounts that churn at the given monthly hazards, as expected or by draws."""
+    rows, left = [], start
+    for month, h in enumerate(hazards, 1):
+        gone = round(left * h) if rng is None else int(rng.binomial(left, h))
+        rows += [("m", month, 1, gone)] if gone else []
+        rows.append(("m", month, 0, 5))
+        left -= gone + 5
+    rows.append(("m", len(hazards), 0, left))  # still there at the end
+    df = spark.createDataFrame(rows, "Contract string, tenure int, Churn int, n int")
+    return df.select("Contract", "tenure", "Churn", F.explode(F.sequence(F.lit(1), "n")).alias("_")).drop("_")
+
+
+def test_cliffs_found(spark):
+    hazards = [0.05 if m in (12, 24, 36) else 0.01 for m in range(1, 49)]
+    got = S.hazard_cliffs(_life(spark, hazards)).toPandas()
+    assert sorted(got.loc[got["cliff"], "timeline"]) == [12, 24, 36]
+    assert not got["shift"].any()
+
+
+def test_no_cliffs_in_a_flat_table(spark):
+    got = S.hazard_cliffs(_life(spark, [0.01] * 48)).toPandas()
+    assert not got["cliff"].any() and not got["shift"].any()
+    rng = np.random.default_rng(1)
+    for _ in range(3):
+        got = S.hazard_cliffs(_life(spark, [0.01] * 40, rng)).toPandas()
+        assert not got["cliff"].any() and not got["shift"].any()
+
+
+def test_shift_found(spark):
+    hazards = [0.03 if m < 13 else 0.01 for m in range(1, 41)]
+    got = S.hazard_cliffs(_life(spark, hazards)).toPandas()
+    assert list(got.loc[got["shift"], "timeline"]) == [13] and not got["cliff"].any()
+    assert got.loc[got["shift"], "z_shift"].iloc[0] < 0
+
+
+def test_normal_tail(spark):
+    z = [-3.0, -1.0, 0.0, 0.5, 1.96, 3.0, 6.0]
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in z], "z double").select(S._normal_tail(F.col("z"))).collect()]
+    assert got == pytest.approx([math.erfc(x / math.sqrt(2)) / 2 for x in z], abs=7.5e-8)
