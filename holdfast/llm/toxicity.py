@@ -15,6 +15,7 @@ learned by gradient descent in numpy; both from a bounded sample of labelled row
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -39,11 +40,14 @@ _LETTER = r"[^\W\d_]"
 _PUNCT = re.escape("\"'[]{}<>),.;:?\u2026\u201c\u201d\u2018\u2019\u00ab\u00bb\u201e\u00bf\u00a1")
 _START, _END = rf"(?<![^\s{_PUNCT}])", rf"(?![^\s{_PUNCT}])"
 _UNIT = rf"(?:{_LETTER}|[\d{_SIGNS}])"
-_SPACED = rf"(?={_UNIT}(?:[ .\-_*]{_UNIT})*?[ .\-_*]{_LETTER}|{_LETTER}){_UNIT}(?:[ .\-_*]{_UNIT}){{2,}}"
-# single letters set apart, a letter next to a sign or digit inside a token, a letter three times
-_ODD = re.compile(
-    rf"{_START}{_SPACED}{_END}"
-    rf"|{_START}(?=[\w{_SIGNS}]*{_LETTER}[\d{_SIGNS}]+{_LETTER}|[\d{_SIGNS}]+{_LETTER}|[\w{_SIGNS}]*{_LETTER}[\d@$]+{_END})[\w{_SIGNS}]{{3,}}{_END}"
+_GAP = r"[ .\-_*]"
+# single letters, digits or signs set apart; a letter must be among them or among those that follow
+_SPACED = re.compile(rf"{_START}{_UNIT}(?:{_GAP}{_UNIT}){{2,}}{_END}")
+_FOLLOWING = re.compile(rf"(?:{_GAP}{_UNIT})*")
+_ANY_LETTER = re.compile(_LETTER)
+# a letter next to a sign or digit inside a token, a letter three times
+_MIXED = re.compile(
+    rf"{_START}(?=[\w{_SIGNS}]*{_LETTER}[\d{_SIGNS}]+{_LETTER}|[\d{_SIGNS}]+{_LETTER}|[\w{_SIGNS}]*{_LETTER}[\d@$]+{_END})[\w{_SIGNS}]{{3,}}{_END}"
     rf"|(?<!\S)\S*({_LETTER})\1\1\S*"
 )
 _MAYBE = re.compile(rf"[\d{_SIGNS}]|(?<!\w)\w[ .\-_*]\w[ .\-_*]|(\w)\1\1")
@@ -71,6 +75,33 @@ def classes_of(text: str) -> np.ndarray:
     return np.where(cp < 0x10000, _TABLE[0][np.minimum(cp, 0xFFFF)], 27).astype(np.int64)
 
 
+def _spaced_from(text: str, at: int) -> re.Match | None:
+    """The next row of single characters with a letter from its start on.
+
+    Rows of digits are passed over whole, so a table of numbers is read once.
+    """
+    while (found := _SPACED.search(text, at)) is not None:
+        if _ANY_LETTER.search(found[0]):
+            return found
+        at = _FOLLOWING.match(text, found.end()).end()
+        if _ANY_LETTER.search(text, found.end(), at):
+            return found
+    return None
+
+
+def odd_places(text: str) -> Iterator[tuple[int, int]]:
+    """Places to decode, from left to right; of two that start together the spaced one. Linear in the text."""
+    at, spaced, mixed = 0, _spaced_from(text, 0), _MIXED.search(text)
+    while spaced or mixed:
+        first = spaced if spaced and (not mixed or spaced.start() <= mixed.start()) else mixed
+        yield first.span()
+        at = first.end()
+        if spaced and spaced.start() < at:
+            spaced = _spaced_from(text, at)
+        if mixed and mixed.start() < at:
+            mixed = _MIXED.search(text, at)
+
+
 def trigram_counts(docs: DataFrame) -> np.ndarray:
     """Counts of letter-class trigrams over the whole texts of all documents, blanks at both ends."""
 
@@ -113,7 +144,11 @@ class Channel:
         low = text.lower()
         if not _MAYBE.search(low):
             return low
-        return _ODD.sub(lambda m: self._decoded(m[0]), low)
+        out, done = [], 0
+        for start, end in odd_places(low):
+            out += [low[done:start], self._decoded(low[start:end])]
+            done = end
+        return "".join([*out, low[done:]])
 
     def _decoded(self, place: str) -> str:
         found = self.cache.get(place)
