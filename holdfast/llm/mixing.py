@@ -1,7 +1,8 @@
 """Mixing sources to target weights.
 
 Each source is one long stream of words, its documents in a hashed order, cut into
-blocks of a fixed number of words. Output shards hold a fixed number of block slots.
+blocks of a fixed number of words: 64, or in sources below 4,096 words a 64th of the
+source, so that small ones meet their targets as well. Output shards hold a fixed number of block slots.
 For every shard, counts of slots per source are drawn from a multinomial distribution
 over the target shares; running totals number the slots of a source from 0. Slot j
 takes block P(j mod n) of the source's n blocks, where P is a pseudorandom permutation
@@ -26,6 +27,7 @@ from holdfast.llm.words import _spans, map_rows, word_count
 from holdfast.session import materialize
 
 BLOCK_WORDS = 64
+LEAST_BLOCKS = 64  # of a source; fewer only where blocks are single words
 SHARD_SLOTS = 1 << 16
 TASK_SLOTS = 1 << 20
 MOST_PASSES = 3
@@ -124,11 +126,16 @@ def place(docs: DataFrame, weights: Column | None = None, keep: tuple[str, ...]
     return placed, {"sizes": sizes, "targets": targets}
 
 
+def block_words(source_size: Column, most: int = BLOCK_WORDS) -> Column:
+    """Words of a block of a source."""
+    return F.least(F.lit(most), F.greatest(F.lit(1), F.floor(source_size / F.lit(LEAST_BLOCKS)))).cast("long")
+
+
 def slots(spark: SparkSession, sizes: list[int], targets: list[float], block: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
-    """All output slots: shard, slot (place in the shard), source_no, pass, block."""
+    """All output slots: shard, slot (place in the shard), source_no, pass, block (of ``block_words``)."""
     out = "shard long, slot long, source_no int, pass int, block long"
     size, target = np.array(sizes, np.int64), np.array(targets)
-    blocks = -(-size // block)
+    blocks = -(-size // np.clip(size // LEAST_BLOCKS, 1, block))
     # blocks of a source are full but for its last one, so quotas count in average blocks
     quota = np.floor(target * blocks / np.maximum(size, 1) + 0.5).astype(np.int64)
     quota = np.minimum(quota, MOST_PASSES * blocks)
@@ -184,11 +191,12 @@ def slots(spark: SparkSession, sizes: list[int], targets: list[float], block: in
 
 def spans(placed: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
     """Parts of documents by block: source_no, block, start (the document's), from, words."""
-    b = F.lit(block)
-    parts = placed.where(F.col("size") > 0).select(
+    b = F.col("_words")
+    parts = placed.where(F.col("size") > 0).withColumn("_words", block_words(F.col("source_size"), block)).select(
         "source_no",
         "start",
         "size",
+        "_words",
         F.explode(F.sequence(F.floor(F.col("start") / b), F.floor((F.col("start") + F.col("size") - 1) / b))).alias("block"),
     )
     low = F.greatest(F.col("block") * b, F.col("start"))

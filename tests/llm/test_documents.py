@@ -86,6 +86,16 @@ def test_mix_meets_targets_and_repeats(spark):
         assert abs(taken - target) <= mixing.BLOCK_WORDS * 2 and target <= 3 * size + 1e-6
 
 
+def test_mix_of_small_sources(spark):
+    """Sources of 1 to 200 words, beside a large one, meet their targets to a word or a hundredth."""
+    sizes = [1, 2, 3, 5, 20, 25, 31, 40, 47, 60, 63, 64, 65, 90, 127, 128, 129, 150, 200, 9000]
+    rows = [(i, " ".join(words(n, i)), "en", f"s{i:02d}", 0) for i, n in enumerate(sizes)]
+    got = mixing.mix_documents(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(got) == len(sizes)
+    for r in got:
+        assert abs(r["taken"] - r["target"]) <= max(1, 0.02 * r["target"]) and r["taken"] <= 3 * r["size"], r
+
+
 def test_mix_odd_rows(odd, empty):
     got = mixing.mix_documents(odd).collect()
     assert len(got) == 8 and all(r["taken"] <= 3 * r["size"] for r in got)
@@ -401,6 +411,19 @@ def test_pack_nothing(empty):
 # --- pipeline ------------------------------------------------------------------------
 
 
+def test_one_row_of_each_group_stays(spark, empty):
+    """Repeated ids, with equal and with other texts; a copy under a larger id; rows without id or text."""
+    text = {k: " ".join(words(60, k)) for k in range(4)}
+    rows = [(1, text[0]), (1, text[0]), (2, text[0]), (3, text[1]), (3, text[2]), (3, None), (4, text[3]), (5, None), (None, text[3]), (None, "")]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], SCHEMA)
+    got = corpus_pipeline.drop_near_duplicates(spark, df, "").collect()
+    ids = [r["doc_id"] for r in got]
+    assert sorted(i for i in ids if i is not None) == [1, 3, 4, 5] and ids.count(None) == 2
+    by = {r["doc_id"]: r["text"] for r in got if r["doc_id"] is not None}
+    assert by == {1: text[0], 3: min(text[1], text[2]), 4: text[3], 5: None}
+    assert corpus_pipeline.drop_near_duplicates(spark, empty, "").count() == 0
+
+
 def test_pipeline_stages(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
