@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from holdfast.llm.words import _spans, map_rows, word_count
+from holdfast.llm.words import _spans, documents_of, map_rows, word_count
 from holdfast.session import materialize
 
 BLOCK_WORDS = 64
@@ -77,15 +77,9 @@ def permute(index: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
     return out
 
 
-def place(docs: DataFrame, weights: Column | None = None, keep: tuple[str, ...] = ()) -> tuple[DataFrame, dict]:
-    """Documents with source number, size and place in their source's stream; and the source list.
-
-    Sources are ordered by code point, a missing one last; without ``weights`` they
-    weigh 1, 2, 3, repeating. The list (name, rows, size) comes to the driver and is
-    checked against MAX_SOURCES.
-    """
-    # words are counted once; later passes read the written columns they need
-    sized = materialize(
+def measured(docs: DataFrame, *keep: str) -> DataFrame:
+    """Documents with doc_id, source, size and the columns of ``keep``, written once, so that words are counted once."""
+    return materialize(
         docs.select(
             F.col("doc_id").cast("long").alias("doc_id"),
             F.col("source").cast("string").alias("source"),
@@ -93,6 +87,15 @@ def place(docs: DataFrame, weights: Column | None = None, keep: tuple[str, ...]
             *(F.col(c).alias(c) for c in keep),
         )
     )
+
+
+def place(sized: DataFrame, *keep: str) -> tuple[DataFrame, dict]:
+    """Rows of ``measured`` with source number and place in their source's stream; and the source list.
+
+    Sources are ordered by code point, a missing one last; they weigh 1, 2, 3, repeating.
+    The list (name, rows, size) comes to the driver and is checked against MAX_SOURCES.
+    Rows are sorted and joined: ``keep`` is for narrow columns.
+    """
     counted = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
     rows = counted.limit(MAX_SOURCES + 1).collect()
     if len(rows) > MAX_SOURCES:
@@ -100,14 +103,14 @@ def place(docs: DataFrame, weights: Column | None = None, keep: tuple[str, ...]
     rows.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode()))
     sizes = [r["size"] for r in rows]
     targets = water_fill(sizes, [1 + i % 3 for i in range(len(rows))], sum(sizes)).tolist()
-    spark = docs.sparkSession
+    spark = sized.sparkSession
     listed = [
         (r["source"], i, r["size"], targets[i], max(1, -(-r["n"] // CELL_ROWS))) for i, r in enumerate(rows)
     ]
     names = spark.createDataFrame(
         listed, "source string, source_no int, source_size long, target double, cells int"
     )
-    sized = sized.withColumnRenamed("source", "_source").join(
+    sized = sized.select("doc_id", "size", F.col("source").alias("_source"), *keep).join(
         F.broadcast(names), F.col("_source").eqNullSafe(F.col("source"))
     ).drop("_source")
     dealt = sized.withColumn("cell", F.pmod(F.xxhash64("doc_id"), F.col("cells")).cast("int"))
@@ -189,19 +192,20 @@ def slots(spark: SparkSession, sizes: list[int], targets: list[float], block: in
     return map_rows(numbered.repartition(parts, "shard", "source_no"), fill, out)
 
 
-def spans(placed: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
-    """Parts of documents by block: source_no, block, start (the document's), from, words."""
+def spans(placed: DataFrame, *keep: str, block: int = BLOCK_WORDS) -> DataFrame:
+    """Parts of documents by block: source_no, block, start (the document's), from, words, and the columns of ``keep``."""
     b = F.col("_words")
     parts = placed.where(F.col("size") > 0).withColumn("_words", block_words(F.col("source_size"), block)).select(
         "source_no",
         "start",
         "size",
         "_words",
+        *keep,
         F.explode(F.sequence(F.floor(F.col("start") / b), F.floor((F.col("start") + F.col("size") - 1) / b))).alias("block"),
     )
     low = F.greatest(F.col("block") * b, F.col("start"))
     high = F.least((F.col("block") + 1) * b, F.col("start") + F.col("size"))
-    return parts.select("source_no", "block", "start", (low - F.col("start")).alias("from"), (high - low).alias("words"))
+    return parts.select("source_no", "block", "start", (low - F.col("start")).alias("from"), (high - low).alias("words"), *keep)
 
 
 def mix_documents(docs: DataFrame) -> DataFrame:
@@ -210,7 +214,7 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     Missing or empty texts have size 0 and are not taken; rows that repeat a doc_id have
     places of their own; a missing source is a source. An empty table gives no rows.
     """
-    found, listed = place(docs)
+    found, listed = place(measured(docs))
     placed = materialize(found)
     used = slots(docs.sparkSession, listed["sizes"], listed["targets"]).groupBy("source_no", "block").agg(
         F.count("*").alias("uses")
@@ -247,15 +251,18 @@ def mixed_texts(docs: DataFrame) -> DataFrame:
     Columns are doc_id, text, lang, source, n_chars; rows with no words fall out, as
     the mix takes nothing of them.
     """
-    found, listed = place(docs, keep=("text", "lang"))
+    typed = documents_of(docs, "lang", "source").withColumn("row", F.monotonically_increasing_id())
+    # the written table fixes the numbers of rows; texts are written once and wait there for what is taken of them
+    texts = measured(typed, "row", "text", "lang")
+    found, listed = place(texts, "row")
     placed = materialize(found)
     taken = (
-        spans(placed)
+        spans(placed, "row")
         .join(slots(docs.sparkSession, listed["sizes"], listed["targets"]).hint("merge"), ["source_no", "block"])
-        .groupBy("source_no", "start", "pass")
+        .groupBy("row", "pass")
         .agg(F.sum("words").alias("taken"), F.collect_list(F.struct("from", "words")).alias("parts"))
     )
-    met = placed.where(F.col("size") > 0).join(taken.hint("merge"), ["source_no", "start"]).select(
+    met = texts.where(F.col("size") > 0).join(taken.hint("merge"), "row").select(
         "doc_id",
         "text",
         "lang",

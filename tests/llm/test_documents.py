@@ -114,6 +114,28 @@ def test_mixed_texts_hold_what_is_taken(spark):
     assert {i: n for i, n in taken.items() if n} == dict(got)
 
 
+def test_texts_of_the_mix_are_written_once(spark, monkeypatch):
+    """Repeated ids, of equal and of other texts, and rows without id or source keep the places of rows of their own."""
+    written = []
+
+    def spy(df):
+        written.append((df.columns, df._jdf.queryExecution().executedPlan().toString()))
+        return plain(df)
+
+    plain = mixing.materialize
+    monkeypatch.setattr(mixing, "materialize", spy)
+    text = [" ".join(words(300, k)) for k in range(4)]
+    rows = [(1, text[0]), (1, text[0]), (1, text[1]), (None, text[2]), (None, text[2]), (2, text[3]), (3, None), (4, " ")]
+    df = spark.createDataFrame([(i, t, "en", "s" if i else None, 0) for i, t in rows], SCHEMA)
+    got = mixing.mixed_texts(df).collect()
+    with_text = [plan for columns, plan in written if "text" in columns]
+    assert len(with_text) == 1 and "Exchange" not in with_text[0]
+    taken = mixing.mix_documents(df).collect()
+    assert sum(len(r["text"].split()) for r in got) == sum(r["taken"] for r in taken) > 0
+    by = {i: {w for j, t in rows if j == i for w in (t or "").split()} for i in (1, 2, None)}
+    assert all(set(r["text"].split()) <= by[r["doc_id"]] for r in got)
+
+
 # --- language ----------------------------------------------------------------------
 
 
