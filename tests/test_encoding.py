@@ -45,6 +45,17 @@ def test_codes_come_from_rows_before(spark, cell):
         assert [c for _, c in mine] == pytest.approx([c for _, c in want], abs=1e-12)
 
 
+def test_tasks_grow_with_rows_and_not_with_cells(spark, monkeypatch):
+    df = spark.createDataFrame(rows(), COLUMNS)
+    asked, plain = [], type(df).repartition
+    monkeypatch.setattr(type(df), "repartition", lambda self, n, *c: asked.append(n) or plain(self, n, *c))
+    encoder = OrderedTargetEncoder(inputCols=["a"], outputCols=["ca"], permutations=1, rowsPerCell=3)
+    assert encoder.encode_training(df).count() == 303
+    monkeypatch.setattr("holdfast.operators.encoding._TASK_ROWS", 100)
+    assert encoder.encode_training(df).count() == 303
+    assert asked == [1, 4]
+
+
 def test_no_row_sees_its_own_label(spark):
     data = rows(120)
     encoder = OrderedTargetEncoder(inputCols=["a", "b"], outputCols=["ca", "cb"], rowsPerCell=30)
