@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from holdfast.operators import learn as L
 from holdfast.operators.metrics import roc_auc
 from holdfast.operators.ranking import stratified_split, time_folds
+from holdfast.operators.tuning import RuleModel
 from holdfast.plans.queries import training_table
 from holdfast.schema import CATEGORICAL_COLUMNS
 
@@ -70,6 +71,18 @@ def test_out_of_fold_covers_every_account(table):
     assert out.count() == table.count() == out.select("customerID").distinct().count()
 
 
+def test_folds_read_their_input_once(spark, table, monkeypatch):
+    read = spark.sparkContext.accumulator(0)
+    count = F.udf(lambda v: read.add(1) or v, "double")
+    raw = table.withColumn("MonthlyCharges", count("MonthlyCharges"))
+    make = lambda: RuleModel("tenure", 12)
+    fitted = lambda rows, *parts: [p.where(F.lit(rows.agg(F.max("MonthlyCharges")).first()[0]) > 0) for p in parts]
+    monkeypatch.setattr(L, "ROWS_PER_FILE", 100)  # cut into many files
+    out = L.out_of_fold_scores(raw, make, folds=3, prepare=fitted)
+    assert out.select("customerID", "MonthlyCharges").distinct().count() == table.count()
+    assert read.value == table.count()
+
+
 def test_forward_scores(table):
     make = lambda: L.BoostedChurnModel(**{**FAST, "trees": 1}, exclude=("fold",))
     folded = time_folds(table, "tenure", 2)
