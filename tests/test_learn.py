@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from holdfast.operators import learn as L
 from holdfast.operators.metrics import roc_auc
 from holdfast.operators.ranking import stratified_split, time_folds
-from holdfast.operators.tuning import RuleModel
+from holdfast.operators.tuning import RuleModel, StackedModel
 from holdfast.plans.queries import training_table
 from holdfast.schema import CATEGORICAL_COLUMNS
 
@@ -81,6 +81,9 @@ def test_folds_read_their_input_once(spark, table, monkeypatch):
     out = L.out_of_fold_scores(raw, make, folds=3, prepare=fitted)
     assert out.select("customerID", "MonthlyCharges").distinct().count() == table.count()
     assert read.value == table.count()
+    read.value = 0
+    stacked = StackedModel({"rule": make}, folds=3).fit(raw, prepare=fitted)
+    assert set(stacked.weights) == {"rule"} and read.value == table.count()
 
 
 def test_forward_scores(table):
