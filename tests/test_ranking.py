@@ -160,3 +160,13 @@ def test_time_folds(spark, cells):
     spans = out.groupby("fold")["t"].agg(["min", "max", "size"])
     assert (spans["min"].to_numpy()[1:] > spans["max"].to_numpy()[:-1]).all()
     assert spans["size"].between(200, 300).all()
+
+
+def test_values_are_derived_once_where_there_are_cells(spark):
+    read = spark.sparkContext.accumulator(0)
+    derived = F.udf(lambda v: read.add(1) or v, "double")("v")
+    data = [(float(i * 37 % 1000),) for i in range(1000)] + [(None,), (float("nan"),)]
+    df = spark.createDataFrame(data, "v double")
+    assert K.exact_median(df, derived, rows_per_cell=100) == 499.5
+    assert read.value == 1002
+    assert K.values_at_ranks(df, derived, lambda n: [0, n - 1], rows_per_cell=100) == (1000, {0: 0.0, 999: 999.0})

@@ -332,3 +332,19 @@ def test_normal_tail(spark):
     z = [-3.0, -1.0, 0.0, 0.5, 1.96, 3.0, 6.0]
     got = [r[0] for r in spark.createDataFrame([(x,) for x in z], "z double").select(S._normal_tail(F.col("z"))).collect()]
     assert got == pytest.approx([math.erfc(x / math.sqrt(2)) / 2 for x in z], abs=7.5e-8)
+
+
+def test_cox_query_derives_its_columns_once(spark, frame, monkeypatch):
+    from holdfast.plans import queries as Q
+
+    read = spark.sparkContext.accumulator(0)
+    counted = F.udf(lambda v: read.add(1) or v, "double")("charge")
+    more = {"customerID": [f"k{i}" for i in range(len(frame))], "charge": frame["MonthlyCharges"].astype(float)}
+    table = spark.createDataFrame(frame.drop(columns="MonthlyCharges").assign(**more))
+    few = {c: F.lit(0) for c in ("SeniorCitizen",) if c not in table.columns}
+    few |= {"TotalCharges": F.col("tenure") * 50.0} if "TotalCharges" not in table.columns else {}
+    monkeypatch.setattr(Q, "cleaned", lambda *_: table.withColumns(few).withColumn("MonthlyCharges", counted))
+    rows, model = Q._cox(spark, "")
+    model.concordance_index(rows).collect()
+    assert model.predict_churn_probability_at(rows, 12).count() == len(frame)
+    assert read.value == len(frame)
